@@ -121,10 +121,9 @@ class Autoencoder:
         rows = df.select(vector_to_array("features").alias("x"),
                          sample_hash(key, self.seed).alias("_hash"))
         rows = rows.select("x", "_hash", held.alias("held"))
-        dealt = rows.withColumn("shard", F.pmod(F.xxhash64("_hash"), F.lit(shards)).cast("int"))
-        staged = stage(dealt, "autoencoder-rows")
-        train = (staged.filter("NOT held").repartition(shards, "shard")
-                       .sortWithinPartitions("shard", "_hash").select("x").persist())
+        staged = stage(rows, "autoencoder-rows")
+        train = (staged.filter("NOT held").repartition(shards, "_hash")
+                       .sortWithinPartitions("_hash").select("x").persist())
         held_rows = staged.filter("held").select(array_to_vector("x").alias("features"))
         first = train.first()
         if first is None:

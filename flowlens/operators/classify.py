@@ -78,9 +78,13 @@ def decision_tree(train: DataFrame, classes: list[str], depth: int = 15,
 
 def random_forest(train: DataFrame, classes: list[str], trees: int = 200, depth: int = 20,
                   seed: int = 42) -> ClassModel:
+    """Node ids travel with the rows, so that a level costs no walk from the root; they are
+    checkpointed every ten levels."""
+    shared_dir(train.sparkSession)
     est = RandomForestClassifier(labelCol="y", weightCol="weight", numTrees=trees,
                                  maxDepth=depth, maxBins=MAX_BINS, maxMemoryInMB=1024,
-                                 featureSubsetStrategy="sqrt", seed=seed)
+                                 featureSubsetStrategy="sqrt", cacheNodeIds=True,
+                                 checkpointInterval=10, seed=seed)
     return ClassModel(est.fit(train), sorted(classes))
 
 
@@ -111,19 +115,22 @@ TRAINERS = {"Decision Tree": decision_tree, "Random Forest": random_forest,
 
 
 def compare_models(train: DataFrame, test: DataFrame, tasks: dict[str, tuple[str, list[str]]],
-                   options: dict[str, dict] | None = None) -> tuple[DataFrame, dict]:
+                   options: dict[str, dict] | None = None,
+                   ready: dict | None = None) -> tuple[DataFrame, dict]:
     """Fit every model on every task; return predictions in long form and the models.
 
-    ``tasks`` maps a task to (label column, class list). The test rows are scored by all
-    models in one scan and unfolded to (task, model, flow_id, truth, guess).
+    ``tasks`` maps a task to (label column, class list); ``ready`` holds models by (task,
+    name) that need no fitting. The test rows are scored by all models in one scan and
+    unfolded to (task, model, flow_id, truth, guess).
     """
     options = options or {}
-    fitted, cells, wide = {}, [], test
+    fitted, cells, wide = dict(ready or {}), [], test
     for task, (label, classes) in tasks.items():
         rows = training_rows(train, label, classes).persist()
         for name, fit in TRAINERS.items():
-            model = fit(rows, classes, **options.get(name, {}))
-            fitted[task, name] = model
+            if (task, name) not in fitted:
+                fitted[task, name] = fit(rows, classes, **options.get(name, {}))
+            model = fitted[task, name]
             guess = f"_guess{len(cells)}"
             wide = predict(model, wide).withColumnRenamed("pred_class", guess).drop(
                 "probability", "pred_conf")

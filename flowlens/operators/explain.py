@@ -159,7 +159,9 @@ def shap_direction(long: DataFrame, k: int = 12, skip: str = "Normal") -> DataFr
     """
     stats = (long.filter(F.col("class_name") != skip).groupBy("class_name", "feature")
                  .agg(F.avg(F.abs("shap")).alias("mean_abs_shap"),
-                      F.corr("value", "shap").alias("direction")))
+                      F.try_divide(F.covar_pop("value", "shap"),
+                                   F.stddev_pop("value") * F.stddev_pop("shap"))
+                       .alias("direction")))
     # One row per feature and class is left, so the window is as small as the model.
     w = Window.partitionBy("class_name").orderBy(F.desc("mean_abs_shap"), "feature")
     return stats.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k)

@@ -13,12 +13,15 @@ from flowlens.functions.columns import clean_feature_name
 MAX_CATEGORIES = 100_000
 
 
-def numeric_stats(train: DataFrame, numeric: list[str]) -> dict[str, tuple[float, float]]:
-    """Mean and population deviation per column in one pass; a constant column scales by 1."""
+def train_stats(train: DataFrame, numeric: list[str], nominal: list[str] = ()):
+    """One pass over ``train``: (mean, population deviation) of each numeric column and the
+    approximate number of values of each nominal one. A constant column scales by 1."""
     aggs = [f(c).alias(f"{c}__{n}") for c in numeric
             for n, f in (("mean", F.avg), ("std", F.stddev_pop))]
+    aggs += [F.approx_count_distinct(c).alias(f"{c}__size") for c in nominal]
     row = train.agg(*aggs).first()
-    return {c: (row[f"{c}__mean"], row[f"{c}__std"] or 1.0) for c in numeric}
+    return ({c: (row[f"{c}__mean"], row[f"{c}__std"] or 1.0) for c in numeric},
+            {c: row[f"{c}__size"] for c in nominal})
 
 
 def _scaling_statement(stats: dict[str, tuple[float, float]]) -> str:
@@ -30,7 +33,7 @@ def _scaling_statement(stats: dict[str, tuple[float, float]]) -> str:
 
 def scaler(train: DataFrame, numeric: list[str]) -> SQLTransformer:
     """(x - mean) / std as plain SQL, so it saves with the pipeline and streams."""
-    return SQLTransformer(statement=_scaling_statement(numeric_stats(train, numeric)))
+    return SQLTransformer(statement=_scaling_statement(train_stats(train, numeric)[0]))
 
 
 def feature_pipeline(train: DataFrame, numeric: list[str], nominal: list[str],
@@ -40,9 +43,9 @@ def feature_pipeline(train: DataFrame, numeric: list[str], nominal: list[str],
     Categories missing from ``train`` encode as all zeros. The category lists live on the
     driver, so their number is checked before they are fetched.
     """
-    sizes = train.agg(*[F.approx_count_distinct(c).alias(c) for c in nominal]).first()
-    if max(sizes) > max_categories:
-        raise ValueError(f"too many categories to one-hot encode: {sizes.asDict()}")
+    stats, sizes = train_stats(train, numeric, nominal)
+    if max(sizes.values()) > max_categories:
+        raise ValueError(f"too many categories to one-hot encode: {sizes}")
     index_cols = [f"idx__{c}" for c in nominal]
     hot_cols = [f"cat__{c}" for c in nominal]
     indexer = StringIndexer(inputCols=nominal, outputCols=index_cols, handleInvalid="keep",
@@ -51,7 +54,8 @@ def feature_pipeline(train: DataFrame, numeric: list[str], nominal: list[str],
                             handleInvalid="error").fit(indexer.transform(train.limit(0)))
     assembler = VectorAssembler(inputCols=[f"num__{c}" for c in numeric] + hot_cols,
                                 outputCol="features", handleInvalid="error")
-    return PipelineModel([scaler(train, numeric), indexer, encoder, assembler])
+    scaling = SQLTransformer(statement=_scaling_statement(stats))
+    return PipelineModel([scaling, indexer, encoder, assembler])
 
 
 def transform(model: PipelineModel, df: DataFrame) -> DataFrame:

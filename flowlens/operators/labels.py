@@ -57,9 +57,9 @@ def null_profile(df: DataFrame, cols: list[str]) -> DataFrame:
 def class_weights(df: DataFrame, label: str = "category") -> DataFrame:
     """Balanced weight n / (k * n_c) over the k classes that occur.
 
-    One partial aggregate; the totals then run over one row per class.
+    One partial aggregate, cached; the totals then run over one row per class.
     """
-    counts = df.groupBy(label).agg(F.count("*").alias("n"))
+    counts = df.groupBy(label).agg(F.count("*").alias("n")).persist()
     totals = counts.agg(F.struct(F.sum("n").alias("n"), F.count("*").alias("k"))).scalar()
     return counts.select(label, "n", (totals["n"] / (totals["k"] * F.col("n"))).alias("weight"))
 

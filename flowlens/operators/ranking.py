@@ -96,16 +96,24 @@ def percentile_of_counts(counts: DataFrame, p: float, by: list[str], weight: str
 
 def threshold_percentile(scored: DataFrame, by: list[str], p: float = 0.95,
                          score: str = "score", **ranges) -> DataFrame:
-    """Percentile ``p`` of the scores of normal rows, per group."""
+    """Percentile ``p`` of the scores of normal rows, per group; one row without groups."""
     normal = scored.filter("binary_label = 0")
-    return percentile_of_counts(score_counts(normal, by, score), p, by, **ranges)
+    keys = by or ["_all"]
+    if not by:
+        normal = normal.withColumn("_all", F.lit(0))
+    limits = percentile_of_counts(score_counts(normal, keys, score), p, keys, **ranges)
+    return limits.select(*by, "threshold")
 
 
 def flag(scored: DataFrame, thresholds: DataFrame, by: list[str], score: str = "score",
          key: str = "flow_id") -> DataFrame:
     """Add ``is_anomalous`` (0/1): score >= the threshold of the row's group."""
-    joined = lookup_join(scored, thresholds, by, "inner", spread_by=key)
-    hit = F.col(score) >= F.col("threshold")
+    if by:
+        joined = lookup_join(scored, thresholds, by, "inner", spread_by=key)
+        limit = F.col("threshold")
+    else:
+        joined, limit = scored, thresholds.select("threshold").scalar()
+    hit = F.col(score) >= limit
     return joined.select(*scored.columns, hit.cast("int").alias("is_anomalous"))
 
 

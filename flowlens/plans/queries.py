@@ -16,7 +16,7 @@ from flowlens.operators import (classify, confusion, detect, explain, features,
                                 novelty, ranking, selection)
 from flowlens.operators.lof import LocalOutlierFactor
 from flowlens.plans import report, wide
-from flowlens.plans.workspace import TASKS, SETTINGS, Workspace
+from flowlens.plans.workspace import Workspace
 from flowlens.schema import BINARY_ORDER, CATEGORY_ORDER, feature_columns, taxonomy
 from flowlens.session import scratch_path
 from flowlens.sources import bundle as bundles
@@ -47,9 +47,9 @@ def train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule scores with ``is_anomalous`` at the 95th percentile of normal rows."""
-    scored = tables.scored(spark, sf_dir).withColumn("model", F.lit("rule"))
-    limits = ranking.threshold_percentile(scored, BY_MODEL, 0.95, "anomaly_score")
-    return ranking.flag(scored, limits, BY_MODEL, "anomaly_score").drop("model")
+    scored = tables.scored(spark, sf_dir)
+    limit = ranking.threshold_percentile(scored, [], 0.95, "anomaly_score")
+    return ranking.flag(scored, limit, [], "anomaly_score")
 
 
 def routed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -528,9 +528,7 @@ def predict_proba(spark, sf_dir):
 
 @query
 def model_comparison(spark, sf_dir):
-    ws = Workspace.of(spark, sf_dir)
-    pred, _ = classify.compare_models(ws.train, ws.test, TASKS, SETTINGS.trainer_options())
-    return confusion.metric_summary(pred, BY_TASK)
+    return confusion.metric_summary(Workspace.of(spark, sf_dir).comparison, BY_TASK)
 
 
 # Novelty detectors
@@ -625,8 +623,8 @@ def score_stream(spark, sf_dir):
 @query
 def route_stream(spark, sf_dir):
     """The rule scorer on arriving flows, with the threshold of the batch test split."""
-    batch = tables.scored(spark, sf_dir).withColumn("model", F.lit("rule"))
-    limit = ranking.threshold_percentile(batch, BY_MODEL, 0.95, "anomaly_score").first().threshold
+    batch = tables.scored(spark, sf_dir)
+    limit = ranking.threshold_percentile(batch, [], 0.95, "anomaly_score").first().threshold
     scored = tables.rule_scores(_flow_stream(spark, sf_dir))
     judged = scored.withColumn("is_anomalous", (F.col("anomaly_score") >= limit).cast("int"))
     return _drain(spark, hybrid.route(judged).select("flow_id", "final_label", "routed_to"),

@@ -55,8 +55,8 @@ def encode(train: DataFrame, test: DataFrame, nominal: list[str] = NOMINAL_COLUM
 def operating_threshold(detector, train: DataFrame, test: DataFrame, settings: Settings) -> float:
     """Percentile of the anomaly score over the normal rows of the chosen split."""
     rows = {"test_normal": test, "train_normal": train}[settings.calibrate_on]
-    normal = detector.score(rows.filter("binary_label = 0")).withColumn("model", F.lit("detector"))
-    found = ranking.threshold_percentile(normal, ["model"], settings.percentile, "anomaly_score")
+    normal = detector.score(rows.filter("binary_label = 0"))
+    found = ranking.threshold_percentile(normal, [], settings.percentile, "anomaly_score")
     return found.first().threshold
 
 

@@ -19,9 +19,9 @@ from flowlens.schema import BINARY_ORDER, CATEGORY_ORDER
 from flowlens.session import stage
 from flowlens.sources import tables
 
-# Boosting is sequential, and the test tables have a fifth of the feature slots of a real
-# flow file, so rounds, depth and components are smaller here than in ``Settings``.
-SETTINGS = report.Settings(rounds=10, boost_depth=5, components=5)
+# The test tables have a fifth of the feature slots of a real flow file, so the models are
+# smaller here than the full-size defaults of ``Settings``.
+SETTINGS = report.Settings(rounds=10, boost_depth=5, forest_trees=50, components=5)
 TASKS = {"binary": ("binary_text", BINARY_ORDER), "multiclass": ("category", CATEGORY_ORDER)}
 
 
@@ -42,7 +42,8 @@ class Workspace:
 
     @cached_property
     def typed(self) -> DataFrame:
-        return stage(tables.typed(self.spark, self.sf_dir), "typed", ["split"])
+        return stage(tables.typed(self.spark, self.sf_dir), "typed", ["split"],
+                     spread_by="flow_id")
 
     @cached_property
     def encoded(self):
@@ -89,6 +90,14 @@ class Workspace:
         return classify.boosted_trees(self.training_rows, CATEGORY_ORDER, SETTINGS.rounds,
                                       SETTINGS.boost_depth)
 
+    @cached_property
+    def comparison(self) -> DataFrame:
+        ready = {("multiclass", "Decision Tree"): self.tree,
+                 ("multiclass", "Random Forest"): self.forest,
+                 ("multiclass", "Boosted Trees"): self.boosted}
+        return classify.compare_models(self.train, self.test, TASKS,
+                                       SETTINGS.trainer_options(), ready)[0].persist()
+
     @cached_property
     def isolation(self):
         return IsolationForest(SETTINGS.isolation_trees).fit(self.normal)

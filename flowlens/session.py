@@ -35,12 +35,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str, partition_by: list[str] | None = None,
+          spread_by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     Cuts the lineage for frames that several jobs or many training passes read; the table
-    outlives any executor.
+    outlives any executor. A table of fewer files than cores is written once more, dealt
+    evenly by ``spread_by``, so that later passes use every core.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.partitionBy(*(partition_by or [])).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, parts = df.sparkSession, partition_by or []
+
+    def write(rows, path):
+        rows.write.partitionBy(*parts).parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    table = write(df, scratch_path(spark, name))
+    cores = spark.sparkContext.defaultParallelism
+    if spread_by and len(table.inputFiles()) < cores * (2 if parts else 1):
+        table = write(table.repartition(cores, spread_by), scratch_path(spark, name))
+    return table
