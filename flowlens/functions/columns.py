@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from flowlens.schema import CONF_THRESHOLD, SUSPECT_LABEL
 
+# The characters that count as outer whitespace of a label.
+WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+              "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
 # The wording of a triage record.
 TRIAGE_SUSPECT = "Unknown / Zero-Day Suspect"
 TRIAGE_NORMAL = "Normal Traffic"
@@ -32,8 +36,7 @@ def rate(condition: Column, among: Column) -> Column:
 def clean_label(label: Column) -> Column:
     """Strip outer whitespace first, then trailing dots. A missing label reads ``nan``."""
     text = F.coalesce(label, F.lit("nan"))
-    stripped = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
-    return F.regexp_replace(stripped, r"\.+$", "")
+    return F.rtrim(F.btrim(text, F.lit(WHITESPACE)), F.lit("."))
 
 
 def binary_label(category: Column, normal: str = "Normal") -> Column:

@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 
 from flowlens.operators.selection import sample_hash, seeded_sample
 
-NODE_SCHEMA = ("tree int, node int, feature int, split double, left int, right int, "
-               "path_length double, n_rows int")
+NODE_SCHEMA = "tree int, node int, feature int, split double, path_length double, n_rows int"
 EULER_GAMMA = 0.5772156649015329
 
 
@@ -31,39 +30,61 @@ def average_path(n: np.ndarray | float) -> np.ndarray:
 
 
 def grow_tree(x: np.ndarray, rng: np.random.Generator) -> list[tuple]:
-    """Node rows of one tree: random feature, random cut, depth up to ceil(log2 n)."""
-    limit = math.ceil(math.log2(max(len(x), 2)))
-    nodes, todo = [None], [(0, np.arange(len(x)), 0)]
+    """Node rows of one tree: random feature, random cut, depth up to ceil(log2 n).
+
+    The children of node i are 2i + 1 and 2i + 2.
+    """
+    limit = depth_limit(len(x))
+    nodes, todo = [], [(0, np.arange(len(x)), 0)]
     while todo:
         node, rows, depth = todo.pop()
         low, high = x[rows].min(axis=0), x[rows].max(axis=0)
         usable = np.flatnonzero(high > low)
         if depth >= limit or len(rows) <= 1 or len(usable) == 0:
-            length = depth + float(average_path(len(rows)))
-            nodes[node] = (node, -1, 0.0, node, node, length, len(rows))
+            nodes.append((node, -1, 0.0, depth + float(average_path(len(rows))), len(rows)))
             continue
         feature = int(rng.choice(usable))
         # Rounding may put the draw on the upper end; the right side must keep a row.
         split = min(rng.uniform(low[feature], high[feature]),
                     np.nextafter(high[feature], low[feature]))
         goes_left = x[rows, feature] <= split
-        left, right = len(nodes), len(nodes) + 1
-        nodes += [None, None]
-        nodes[node] = (node, feature, float(split), left, right, 0.0, len(rows))
-        todo += [(left, rows[goes_left], depth + 1), (right, rows[~goes_left], depth + 1)]
+        nodes.append((node, feature, float(split), 0.0, len(rows)))
+        todo += [(2 * node + 1, rows[goes_left], depth + 1),
+                 (2 * node + 2, rows[~goes_left], depth + 1)]
     return nodes
 
 
-def path_lengths(x: np.ndarray, trees: list[dict[str, np.ndarray]]) -> np.ndarray:
-    """Mean path length of every row of ``x`` over the trees."""
-    total, rows = np.zeros(len(x)), np.arange(len(x))
-    for t in trees:
-        at = np.zeros(len(x), dtype=np.int64)
-        # Leaves point at themselves, so extra steps change nothing.
-        for _ in range(t["depth"]):
-            goes_left = x[rows, t["feature"][at]] <= t["split"][at]
-            at = np.where(goes_left, t["left"][at], t["right"][at])
-        total += t["path_length"][at]
+def depth_limit(n: int) -> int:
+    return math.ceil(math.log2(max(n, 2)))
+
+
+def full_tree(nodes: pd.DataFrame, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(feature, split, path length) by node number, every branch drawn out to ``depth``.
+
+    Below a leaf the cut is infinite, so rows keep left, where its path length is repeated.
+    """
+    size = 2 ** (depth + 1) - 1
+    feature, split, length = np.zeros(size, np.int64), np.full(size, np.inf), np.zeros(size)
+    inner, leaves = nodes[nodes["feature"] >= 0], nodes[nodes["feature"] < 0]
+    feature[inner["node"]], split[inner["node"]] = inner["feature"], inner["split"]
+    at, path = leaves["node"].to_numpy(), leaves["path_length"].to_numpy()
+    while len(at):
+        length[at] = path
+        at, path = (2 * at + 1)[2 * at + 1 < size], path[2 * at + 1 < size]
+    return feature, split, length
+
+
+def path_lengths(x: np.ndarray, trees: list[tuple], depth: int) -> np.ndarray:
+    """Mean path length of every row of ``x`` over the drawn-out trees."""
+    n, d = x.shape
+    cells, start = np.ascontiguousarray(x).ravel(), np.arange(n) * d
+    total = np.zeros(n)
+    for feature, split, length in trees:
+        at = np.where(x[:, feature[0]] > split[0], 2, 1)
+        for _ in range(depth - 1):
+            right = cells.take(start + feature.take(at)) > split.take(at)
+            at = 2 * at + 1 + right
+        total += length.take(at)
     return total / len(trees)
 
 
@@ -72,22 +93,16 @@ class IsolationForestModel:
     nodes: DataFrame
     psi: int
 
-    def _trees(self) -> list[dict]:
-        """Node arrays per tree; at most trees * (2 psi - 1) rows."""
-        table = self.nodes.toPandas().sort_values(["tree", "node"])
-        trees = []
-        for _, t in table.groupby("tree"):
-            arrays = {c: t[c].to_numpy() for c in ("split", "left", "right", "path_length")}
-            arrays["feature"] = np.maximum(t["feature"].to_numpy(), 0)
-            arrays["depth"] = math.ceil(math.log2(max(self.psi, 2)))
-            trees.append(arrays)
-        return trees
+    def _trees(self) -> list[tuple]:
+        """Node arrays per tree; at most trees * 4 psi numbers each."""
+        table = self.nodes.toPandas()
+        return [full_tree(t, depth_limit(self.psi)) for _, t in table.groupby("tree")]
 
     def score(self, df: DataFrame, out: str = "anomaly_score",
               features: str = "features") -> DataFrame:
         """Add 2^(-E[h] / c(psi)); higher is stranger. Rows do not move."""
         forest = df.sparkSession.sparkContext.broadcast(self._trees())
-        scale = float(average_path(self.psi))
+        scale, depth = float(average_path(self.psi)), depth_limit(self.psi)
 
         @F.pandas_udf("double")
         def isolation(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -97,7 +112,7 @@ class IsolationForestModel:
                     yield pd.Series([], dtype=float)
                     continue
                 x = np.stack(batch.to_numpy())
-                yield pd.Series(np.exp2(-path_lengths(x, trees) / scale))
+                yield pd.Series(np.exp2(-path_lengths(x, trees, depth) / scale))
 
         return df.withColumn(out, isolation(vector_to_array(features)))
 

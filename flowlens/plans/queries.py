@@ -460,8 +460,10 @@ def one_hot(spark, sf_dir):
 
 @query
 def feature_matrix(spark, sf_dir):
-    encoded = _pipeline(spark, sf_dir).transform(tables.typed(spark, sf_dir))
-    row = vector_to_array("features")
+    typed = tables.typed(spark, sf_dir)
+    encoded = features.transform(_pipeline(spark, sf_dir), typed).select(
+        "flow_id", vector_to_array("features").alias("row"))
+    row = F.col("row")
     hot = F.slice(row, len(tables.NUMERIC) + 1, F.size(row))
 
     def total(a):

@@ -14,10 +14,27 @@ NUMERIC = ["duration", "src_bytes", "dst_bytes", "cnt", "serror_rate", "same_srv
 NOMINAL = ["protocol_type", "service", "flag"]
 
 
+SPLIT_BYTES = 128 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fact_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table that is dealt over the cores by ``key`` if it is too small to fill them.
+
+    A table of many files, or of few but large ones, is read as it lies, without a shuffle.
+    """
+    df = table(spark, sf_dir, name)
+    cores, files = spark.sparkContext.defaultParallelism, df.inputFiles()
+    if len(files) >= cores:
+        return df
+    lengths = spark.read.format("binaryFile").load(files).select("length")
+    small = lengths.agg(F.sum("length")).first()[0] < cores * SPLIT_BYTES
+    return df.repartition(cores, key) if small else df
+
+
 def flows_from(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
     """Order lines seen as flows; ``lineitem`` may be a stream."""
     joined = (lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
@@ -53,7 +70,8 @@ def flows_from(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataF
 
 
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flows_from(*(table(spark, sf_dir, t) for t in ("lineitem", "orders", "part")))
+    return flows_from(fact_table(spark, sf_dir, "lineitem", "l_orderkey"),
+                      table(spark, sf_dir, "orders"), table(spark, sf_dir, "part"))
 
 
 def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
