@@ -29,36 +29,40 @@ def _range_index(value: Column, cuts: Column, per_side: int) -> Column:
 
 
 def running_totals(points: DataFrame, by: list[str], order: str, totals: list[str],
-                   descending: bool = False, single_task_rows: int = SINGLE_TASK_ROWS,
+                   descending: bool = False, peek: bool = False,
+                   single_task_rows: int = SINGLE_TASK_ROWS,
                    per_side: int = RANGES_PER_SIDE) -> DataFrame:
     """Add ``cum_<c>`` per total, running over ``order`` within ``by``.
 
-    ``points`` holds one row per (by, order).
+    ``points`` holds one row per (by, order). ``peek`` also adds ``next_<c>``, the total of
+    the following row; it is null at the end of a group or of a range.
     """
     points = points.persist(StorageLevel.MEMORY_AND_DISK)
     sort_key = F.desc(order) if descending else F.asc(order)
 
-    def cumulate(df, keys, key, columns, names):
-        w = Window.partitionBy(*keys).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select("*", *[F.sum(c).over(w).alias(n) for c, n in zip(columns, names)])
+    def cumulate(df, keys, key, columns, names, ahead=()):
+        w = Window.partitionBy(*keys).orderBy(key)
+        upto = w.rowsBetween(Window.unboundedPreceding, 0)
+        return df.select("*", *[F.sum(c).over(upto).alias(n) for c, n in zip(columns, names)],
+                         *[F.lead(c).over(w).alias(n) for c, n in zip(columns, ahead)])
 
-    cum = [f"cum_{c}" for c in totals]
+    cum, ahead = [f"cum_{c}" for c in totals], [f"next_{c}" for c in totals] if peek else []
     if points.limit(single_task_rows + 1).count() <= single_task_rows:
-        return cumulate(points, by, sort_key, totals, cum)
+        return cumulate(points, by, sort_key, totals, cum, ahead)
 
     n = per_side * per_side
     cuts = points.groupBy(*by).agg(
         F.percentile_approx(order, [i / n for i in range(1, n)], 100 * n).alias("_cuts"))
-    ranged = (lookup_join(points, cuts, by, "inner", spread_by=order)
+    ranged = (lookup_join(points, cuts, by, "inner", spread_by=order, max_rows=1_000)
               .withColumn("_range", _range_index(F.col(order), F.col("_cuts"), per_side))
               .drop("_cuts"))
     range_key = F.desc("_range") if descending else F.asc("_range")
     sums = ranged.groupBy(*by, "_range").agg(*[F.sum(c).alias(c) for c in totals])
     before = cumulate(sums, by, range_key, totals, [f"_upto_{c}" for c in totals]).select(
         *by, "_range", *[(F.col(f"_upto_{c}") - F.col(c)).alias(f"_before_{c}") for c in totals])
-    local = cumulate(ranged, [*by, "_range"], sort_key, totals, cum)
+    local = cumulate(ranged, [*by, "_range"], sort_key, totals, cum, ahead)
     joined = lookup_join(local, before, [*by, "_range"], "inner", spread_by=order)
-    return joined.select(*points.columns, *[
+    return joined.select(*points.columns, *ahead, *[
         (F.col(f"cum_{c}") + F.col(f"_before_{c}")).alias(f"cum_{c}") for c in totals])
 
 
@@ -117,9 +121,9 @@ def flag(scored: DataFrame, thresholds: DataFrame, by: list[str], score: str = "
     return joined.select(*scored.columns, hit.cast("int").alias("is_anomalous"))
 
 
-def _ranked(counts: DataFrame, by: list[str], **ranges) -> DataFrame:
+def _ranked(counts: DataFrame, by: list[str], **options) -> DataFrame:
     """Running positives and negatives from the highest score down, with group sizes."""
-    ranked = running_totals(counts, by, "score", ["pos", "neg"], descending=True, **ranges)
+    ranked = running_totals(counts, by, "score", ["pos", "neg"], descending=True, **options)
     sizes = ranked.groupBy(*by).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
     return lookup_join(ranked, sizes, by, "inner", spread_by="score")
 
@@ -128,9 +132,15 @@ def _fraction(a: str, b: str) -> Column:
     return F.try_divide(F.col(a).cast("double"), F.col(b).cast("double"))
 
 
-def roc_points(scored: DataFrame, by: list[str], **ranges) -> DataFrame:
-    """fpr and tpr at every threshold, from (0, 0); the start has no threshold."""
-    ranked = _ranked(score_counts(scored, by), by, **ranges)
+def roc_points(scored: DataFrame, by: list[str], thin: bool = False, **ranges) -> DataFrame:
+    """fpr and tpr at every threshold, from (0, 0); the start has no threshold.
+
+    ``thin`` drops points followed by an equal step, which lie on a straight line.
+    """
+    ranked = _ranked(score_counts(scored, by), by, peek=thin, **ranges)
+    if thin:
+        same = F.col("next_pos").eqNullSafe(F.col("pos")) & F.col("next_neg").eqNullSafe(F.col("neg"))
+        ranked = ranked.filter(~same)
     points = ranked.select(*by, F.col("score").alias("threshold"),
                            _fraction("cum_neg", "_n").alias("fpr"),
                            _fraction("cum_pos", "_p").alias("tpr"))

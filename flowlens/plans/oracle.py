@@ -380,6 +380,13 @@ def oracle_sql() -> dict[str, str]:
             "SELECT model, round(score, 6) AS threshold, round(fp / n, 6) AS fpr, "
             "round(tp / p, 6) AS tpr FROM cum "
             "UNION ALL SELECT DISTINCT model, CAST(NULL AS DOUBLE), 0, 0 FROM cum"),
+        "roc_curve_thin": _detections(
+            "SELECT model, round(score, 6) AS threshold, round(fp / n, 6) AS fpr, "
+            "round(tp / p, 6) AS tpr FROM (SELECT *, lead(pos) OVER w AS next_pos, "
+            "lead(neg) OVER w AS next_neg FROM cum "
+            "WINDOW w AS (PARTITION BY model ORDER BY score DESC)) "
+            "WHERE pos IS DISTINCT FROM next_pos OR neg IS DISTINCT FROM next_neg "
+            "UNION ALL SELECT DISTINCT model, CAST(NULL AS DOUBLE), 0, 0 FROM cum"),
         "pr_curve": _detections(
             "SELECT model, round(score, 6) AS threshold, round(tp / (tp + fp), 6) AS precision, "
             "round(tp / p, 6) AS recall FROM cum "

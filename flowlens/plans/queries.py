@@ -197,8 +197,7 @@ def triage_disposition(spark, sf_dir):
     return hybrid.triage(flagged(spark, sf_dir)).select("flow_id", "decision", "badge", "action")
 
 
-@query
-def what_if_overrides(spark, sf_dir):
+def _edited(spark, sf_dir):
     typed = tables.typed(spark, sf_dir)
     # Only the fields a row changes are set; the rest stay null.
     overrides = typed.filter("binary_label = 1").select(
@@ -206,8 +205,19 @@ def what_if_overrides(spark, sf_dir):
         F.when(F.col("cnt") > 25, "icmp").alias("protocol_type"),
         (F.col("duration") * 2).alias("duration"),
         F.when(F.col("serror_rate") > 0.04, F.lit(0.0)).alias("serror_rate"))
-    edited = selection.apply_overrides(typed, overrides)
-    return edited.select("flow_id", "protocol_type", "duration", "serror_rate", "cnt")
+    return selection.apply_overrides(typed, overrides)
+
+
+@query
+def what_if_overrides(spark, sf_dir):
+    return _edited(spark, sf_dir).select(
+        "flow_id", "protocol_type", "duration", "serror_rate", "cnt")
+
+
+@query
+def what_if_scored(spark, sf_dir):
+    return _score_columns(scoring.score(_edited(spark, sf_dir),
+                                        Workspace.of(spark, sf_dir).bundle))
 
 
 @query
@@ -343,6 +353,11 @@ def roc_curve(spark, sf_dir):
     return rounded(ranking.roc_points(detections(spark, sf_dir), BY_MODEL))
 
 
+@query
+def roc_curve_thin(spark, sf_dir):
+    return rounded(ranking.roc_points(detections(spark, sf_dir), BY_MODEL, thin=True))
+
+
 @query
 def pr_curve(spark, sf_dir):
     return rounded(ranking.pr_points(detections(spark, sf_dir), BY_MODEL))
@@ -453,7 +468,7 @@ def one_hot(spark, sf_dir):
 
     def slot(c):
         place = F.array_position(vector_to_array(f"cat__{c}"), F.lit(1.0))
-        return F.when(place > 0, place - 1).alias(f"{c}_slot")
+        return F.when(place > 0, place - 1).cast("int").alias(f"{c}_slot")
 
     return encoded.select("flow_id", *[slot(c) for c in tables.NOMINAL])
 
