@@ -21,7 +21,7 @@ HEADLINE = [
     "feature_matrix", "scan_flows", "load_split",
     "clf_decision_tree", "clf_boosted_trees", "iforest_score", "lof_flow_score",
     "pca_reconstruction", "detector_comparison", "score_flows", "score_stream",
-    "model_hybrid_summary", "shap_importance", "shap_case_rows",
+    "model_hybrid_summary", "shap_importance", "shap_case_rows", "full_report",
 ]
 
 

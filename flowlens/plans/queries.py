@@ -6,6 +6,8 @@ different orders.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from flowlens.operators import (classify, confusion, detect, explain, features,
                                 novelty, ranking, selection)
 from flowlens.operators.lof import LocalOutlierFactor
 from flowlens.plans import report, wide
-from flowlens.plans.workspace import Workspace
+from flowlens.plans.workspace import SETTINGS, Workspace
 from flowlens.schema import BINARY_ORDER, CATEGORY_ORDER, feature_columns, taxonomy
 from flowlens.session import scratch_path
 from flowlens.sources import bundle as bundles
@@ -648,6 +650,16 @@ def route_stream(spark, sf_dir):
                   "routed-stream")
 
 
+@query
+def full_report(spark, sf_dir):
+    """All result tables of the report job, one JSON row each."""
+    tables_by_name = report.report(Workspace.of(spark, sf_dir).typed, SETTINGS)
+    parts = [df.select(F.lit(name).alias("table"),
+                       F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row"))
+             for name, df in tables_by_name.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def model_hybrid_summary(spark, sf_dir):
     ws = Workspace.of(spark, sf_dir)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from flowlens.operators.labels import derive_labels
 from flowlens.schema import flow_schema, taxonomy
+from flowlens.session import stage
 
 
 def field_count_profile(spark: SparkSession, path: str) -> DataFrame:
@@ -47,6 +48,16 @@ def load_split(spark: SparkSession, train_path: str, test_path: str) -> DataFram
     return derive_labels(both, taxonomy(spark))
 
 
+def stage_flows(df: DataFrame, key: str = "flow_id", seed: int = 0) -> DataFrame:
+    """Give every row a unique key and store the table, split by ``split``.
+
+    Flow files have no key, and every later stage relies on one. It is drawn once, while the
+    table is written, so all readers see the same keys.
+    """
+    keyed = df.select(F.uuid(F.lit(seed)).alias(key), "*")
+    return stage(keyed, "flows", ["split"], spread_by=key)
+
+
 def write_flows(df: DataFrame, path: str) -> None:
     """Write flow rows headerless, keeping label padding as it is."""
     df.write.csv(path, header=False, ignoreLeadingWhiteSpace=False,
