@@ -116,27 +116,35 @@ TRAINERS = {"Decision Tree": decision_tree, "Random Forest": random_forest,
 
 def compare_models(train: DataFrame, test: DataFrame, tasks: dict[str, tuple[str, list[str]]],
                    options: dict[str, dict] | None = None,
-                   ready: dict | None = None) -> tuple[DataFrame, dict]:
+                   ready: dict | None = None, parallelism: int = 3) -> tuple[DataFrame, dict]:
     """Fit every model on every task; return predictions in long form and the models.
 
     ``tasks`` maps a task to (label column, class list); ``ready`` holds models by (task,
-    name) that need no fitting. The test rows are scored by all models in one scan and
-    unfolded to (task, model, flow_id, truth, guess).
+    name) that need no fitting. Fits are independent, so a few run side by side. The test
+    rows are scored by all models in one scan and unfolded to (task, model, flow_id, truth,
+    guess).
     """
     options = options or {}
     fitted, cells, wide = dict(ready or {}), [], test
-    for task, (label, classes) in tasks.items():
-        rows = training_rows(train, label, classes).persist()
-        for name, fit in TRAINERS.items():
-            if (task, name) not in fitted:
-                fitted[task, name] = fit(rows, classes, **options.get(name, {}))
-            model = fitted[task, name]
+    rows = {task: training_rows(train, label, classes).persist()
+            for task, (label, classes) in tasks.items()}
+    missing = [(task, name) for task in tasks for name in TRAINERS if (task, name) not in fitted]
+
+    def fit(item):
+        task, name = item
+        return TRAINERS[name](rows[task], tasks[task][1], **options.get(name, {}))
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        found = pool.map(inheritable_thread_target(train.sparkSession)(fit), missing)
+        fitted.update(zip(missing, found))
+    for task, (label, _) in tasks.items():
+        rows[task].unpersist()
+        for name in TRAINERS:
             guess = f"_guess{len(cells)}"
-            wide = predict(model, wide).withColumnRenamed("pred_class", guess).drop(
+            wide = predict(fitted[task, name], wide).withColumnRenamed("pred_class", guess).drop(
                 "probability", "pred_conf")
             cells.append(F.struct(F.lit(task).alias("task"), F.lit(name).alias("model"),
                                   F.col(label).alias("truth"), F.col(guess).alias("guess")))
-        rows.unpersist()
     known = F.array(*[F.lit(c) for _, classes in tasks.values() for c in classes])
     long = wide.select("flow_id", F.explode(F.array(*cells)).alias("c")).select(
         "c.task", "c.model", "flow_id", "c.truth", "c.guess")
