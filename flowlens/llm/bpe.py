@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame
 from flowlens.llm.common import mapped, texts_of
 
 #: States kept before the table of the transducer is started anew.
-MAX_STATES = 300_000
-#: Pieces whose ids are remembered, and the longest such piece in characters.
-MAX_PIECES, MAX_PIECE_CHARS = 500_000, 48
+MAX_STATES = 500_000
+#: Pieces in a generation whose ids are remembered (two are kept), and the longest such piece in characters.
+MAX_PIECES, MAX_PIECE_CHARS = 400_000, 48
 #: Pairs of tokens whose compatibility is remembered.
 MAX_PAIRS = 1_000_000
 #: Ids that are decoded at a time.
@@ -52,7 +52,8 @@ class Merges:
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self._halves: dict[bytes, tuple[bytes, bytes] | None] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._edges: tuple[dict, dict] = ({}, {})
+        self._pairs: dict[int, bool] = {}
 
     def halves(self, token: bytes) -> tuple[bytes, bytes] | None:
         """The two tokens whose merge makes ``token``; None for a token that no merge makes."""
@@ -70,17 +71,18 @@ class Merges:
 
     def edge(self, token: bytes, side: int) -> list[tuple[bytes, int]]:
         """What stands at one end of ``token`` while it is built, each with the rank that ends it."""
-        out, until = [], NEVER
-        while True:
-            out.append((token, until))
+        known = self._edges[side].get(token)
+        if known is None:
             halves = self.halves(token)
-            if halves is None:
-                return out[::-1]
-            token, until = halves[side], self.ranks[token]
+            grown = [] if halves is None else [*self.edge(halves[side], side)]
+            if grown:
+                grown[-1] = (grown[-1][0], self.ranks[token])
+            known = self._edges[side][token] = [*grown, (token, NEVER)]
+        return known
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether merging the bytes of the two tokens gives back just these two."""
-        key = (left, right)
+        key = left << 32 | right
         known = self._pairs.get(key)
         if known is None:
             if len(self._pairs) >= MAX_PAIRS:
@@ -114,74 +116,93 @@ class Transducer:
     """Bytes of one piece in, token ids out."""
 
     ROOT = 0
+    #: The hypothesis that nothing is pending, and the state part of it alone.
+    FRESH = ((), ROOT)
+    ALONE = (FRESH,)
 
     def __init__(self, ranks: dict[bytes, int]):
         self.merges = Merges(ranks)
-        self.child: list[dict[int, int]] = [{}]
-        self.token: list[int] = [-1]
+        self.child: dict[int, int] = {}  # by node * 256 + byte
+        self.token = [-1]
+        inner = set()
         for word, rank in ranks.items():
             node = self.ROOT
             for byte in word:
-                nxt = self.child[node].get(byte)
+                inner.add(node)
+                nxt = self.child.get(node << 8 | byte)
                 if nxt is None:
-                    nxt = self.child[node][byte] = len(self.child)
-                    self.child.append({})
+                    nxt = self.child[node << 8 | byte] = len(self.token)
                     self.token.append(-1)
                 node = nxt
             self.token[node] = rank
+        self.goes_on = [node in inner for node in range(len(self.token))]
         self._reset()
 
     def _reset(self) -> None:
         self.ids: dict[tuple, int] = {}
         self.states: list[tuple] = []
-        self.moves: list[dict[int, tuple[int, tuple[int, ...]]]] = []
-        self.start = self._state((-1, (((), self.ROOT),)))
+        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}  # by state * 256 + byte
+        self.start = self._state((-1, self.ALONE))
 
     def _state(self, key: tuple) -> int:
-        at = self.ids.get(key)
-        if at is None:
-            at = self.ids[key] = len(self.states)
+        at = self.ids.setdefault(key, len(self.states))
+        if at == len(self.states):
             self.states.append(key)
-            self.moves.append({})
         return at
 
     def _build(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """The move from ``state`` on ``byte``: next state and the tokens now certain."""
         last, live = self.states[state]
+        child, compatible = self.child.get, self.merges.compatible
         alive, closed = [], None
         for pending, node in live:
-            nxt = self.child[node].get(byte)
+            nxt = child(node << 8 | byte)
             if nxt is None:
                 continue
             token = self.token[nxt]
             if token >= 0 and closed is None:
                 before = pending[-1] if pending else last
-                if before < 0 or self.merges.compatible(before, token):
+                if before < 0 or compatible(before, token):
                     closed = (*pending, token)
-            if self.child[nxt]:
+            if self.goes_on[nxt]:
                 alive.append((pending, nxt))
         if closed is None:
             raise ValueError("the vocabulary has no token for some byte")
-        alive.append((closed, self.ROOT))
-        shared = 0
-        shortest = min(len(p) for p, _ in alive)
-        while shared < shortest and all(p[shared] == closed[shared] for p, _ in alive):
-            shared += 1
-        out = closed[:shared]
-        key = (out[-1] if out else last, tuple((p[shared:], node) for p, node in alive))
-        move = self.moves[state][byte] = (self._state(key), out)
+        if not alive:
+            out, key = closed, (closed[-1], self.ALONE)
+        else:
+            shared, oldest = 0, alive[0][0]  # the oldest hypothesis has the least pending
+            while shared < len(oldest):
+                token = closed[shared]
+                if any(len(p) <= shared or p[shared] != token for p, _ in alive):
+                    break
+                shared += 1
+            out = closed[:shared]
+            if shared:
+                key = (out[-1], (*[(p[shared:], node) for p, node in alive],
+                                 (closed[shared:], self.ROOT)))
+            else:
+                key = (last, (*alive, (closed, self.ROOT)))
+        move = self.moves[state << 8 | byte] = (self._state(key), out)
         return move
 
     def encode(self, piece: bytes) -> list[int]:
         if len(self.states) > MAX_STATES:
             self._reset()
-        state, out, moves = self.start, [], self.moves
+        state, out, known = self.start, [], self.moves.get
         for byte in piece:
-            move = moves[state].get(byte) or self._build(state, byte)
-            state = move[0]
-            if move[1]:
-                out += move[1]
-        return [*out, *self.states[state][1][-1][0]] if piece else out
+            state, told = known(state << 8 | byte) or self._build(state, byte)
+            if told:
+                out += told
+        out += self.states[state][1][-1][0]
+        return out
+
+
+#: The usual pattern of byte-level vocabularies, and the same with the frequent case first. No
+#: two of its first three kinds start alike, so their order does not matter; this one is faster.
+SAME_PATTERN = {
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+":
+    r" ?\p{L}+|'(?:s|t|re|ve|m|ll|d)| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"}
 
 
 class Encoder:
@@ -189,20 +210,23 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer = Transducer(ranks)
-        self.pieces = regex.compile(pattern).findall
+        self.pieces = regex.compile(SAME_PATTERN.get(pattern, pattern)).findall
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # the full generation before; what is met again stays
 
     def _piece(self, piece: str) -> bytes:
-        out = array("I", self.transducer.encode(piece.encode())).tobytes()
+        out = self.older.get(piece)
+        if out is None:
+            out = array("I", self.transducer.encode(piece.encode())).tobytes()
         if len(piece) <= MAX_PIECE_CHARS:
             if len(self.known) >= MAX_PIECES:
-                self.known.clear()
+                self.known, self.older = {}, self.known
             self.known[piece] = out
         return out
 
     def packed(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers (native order of the usual hosts)."""
-        known, missing = self.known.get, self._piece
+        known, missing = self.known.get, self._piece  # a generation that ends within is still read
         return b"".join([known(p) or missing(p) for p in self.pieces(text)])
 
     def encode(self, text: str) -> list[int]:
