@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flowlens.llm import bpe, packing
+from flowlens.llm import bpe, chat, credentials, packing, sharding
 from flowlens.llm.common import read
 
 RANKS, TOKENIZER = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
@@ -18,14 +19,64 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.PATTERN)
 
 
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and conversation -1, whose texts hold control strings."""
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(0, 2, 1, 1).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"))
+    messages = turns.unionByName(extra).withColumn("parts", chat.text_parts("text"))
+    return chat.digests(messages)
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.interleave(read(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "source")
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.report(read(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER),
                         public_tokenizers.PATTERN)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat": op1_chat,
+    "op2_sharding": op2_sharding,
+    "op5_secrets": op5_secrets,
     "op9_packing": op9_packing,
     "op10_bpe": op10_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+#: Control strings and their escape, as DuckDB's regular expressions say it.
+_ESCAPED = (r"regexp_replace(regexp_replace(coalesce({}, ''), "
+            r"'<(\^*(?:/?s>|\|(?:im_start|im_end|nl|image|audio|document|unknown|endoftext)\|>))', "
+            r"'<^\1', 'g'), '\[(\^*/?INST\])', '[^\1', 'g')")
+
+ORACLES: dict[str, str] = {
+    "op1_chat": rf"""
+        WITH rows AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        turns AS (
+            SELECT *, {_ESCAPED.format("text")} AS body,
+                   replace({_ESCAPED.format("role")}, chr(10), '<|nl|>') AS head
+            FROM rows)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), ''
+                                 ORDER BY turn NULLS FIRST, head, body)) AS turns_sha256,
+               CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT)
+                   AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, head, body)
+                               FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(length(head) + length(body) + {len("<|im_start|><|im_end|>") + 2})
+                    AS BIGINT) AS formatted_chars
+        FROM turns GROUP BY conv_id""",
+}
