@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import bpe, chat, credentials, packing, sharding
+from flowlens.llm import ann, bpe, chat, credentials, fingerprint, packing, sharding
 from flowlens.llm.common import read
 
 RANKS, TOKENIZER = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
@@ -40,6 +40,14 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.report(read(spark, sf_dir, "documents"))
 
 
+def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_neighbours(read(spark, sf_dir, "documents"))
+
+
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read(spark, sf_dir, "embeddings"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER),
                         public_tokenizers.PATTERN)
@@ -49,6 +57,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_sharding": op2_sharding,
     "op5_secrets": op5_secrets,
+    "op6_fingerprint": op6_fingerprint,
+    "op7_neighbours": op7_neighbours,
     "op9_packing": op9_packing,
     "op10_bpe": op10_bpe,
 }
