@@ -26,11 +26,13 @@ from flowlens.llm.common import mapped, staged, texts_of
 #: Labelled documents used for fitting, folds, and hash buckets of the features.
 SAMPLE, FOLDS, BUCKETS = 20_000, 5, 1 << 20
 #: Features kept for each category, and documents that a feature must occur in.
-FEATURES, LEAST_DOCS = 1_000, 4
+FEATURES, LEAST_DOCS = 400, 4
+#: How much more frequent in the category a feature must be, and its least likelihood gain.
+LIFT, LEAST_GAIN = 4, 8
 #: Lengths of the word beginnings that count as features next to the word itself.
 BEGINNINGS = (4, 5, 6)
 #: Weight of the squared coefficients against the summed loss, and steps of a fit.
-RIDGE, STEPS = 0.3, 60
+RIDGE, STEPS = 0.1, 60
 THRESHOLD = 0.5
 MAX_WORDS = 300_000
 EDGES = ".,;:!?\"'()[]{}<>*#%&-_/\\|«»„“”‘’…"
@@ -158,12 +160,16 @@ def labelled(docs: DataFrame, labels: DataFrame, categories: dict[str, object])
         return {"doc_id": batch.column(0), "fold": batch.column(1), "y": batch.column(2),
                 "buckets": [features.of(t) for t in texts_of(batch.column(3))]}
 
-    return staged(mapped(rows, "doc_id long, fold int, y array<int>, buckets array<int>", run),
-                  "labelled")
+    found = mapped(rows, "doc_id long, fold int, y array<int>, buckets array<int>", run)
+    # buckets are hashes in order, so the least two are a small MinHash: of copies that agree in
+    # them one stays, else the chance words of a document copied often would pass for signs
+    least = F.slice("buckets", 1, 2)
+    return staged(found.withColumn("_least", least).dropDuplicates(["y", "_least"])
+                  .drop("_least"), "labelled")
 
 
 def chosen_columns(sample: DataFrame, n_categories: int) -> dict[int, int]:
-    """The buckets whose presence says most about each category (likelihood ratio)."""
+    """The buckets whose presence speaks most for each category (likelihood ratio)."""
     def count(batches):
         total = np.zeros((n_categories + 1, BUCKETS), dtype=np.int32)
         for batch in batches:
@@ -198,8 +204,10 @@ def chosen_columns(sample: DataFrame, n_categories: int) -> dict[int, int]:
             (a, n, yes / all_), (n - a, n, 1 - yes / all_),
             (yes - a, all_ - n, yes / all_), (all_ - yes - n + a, all_ - n, 1 - yes / all_))),
             F.lit(0.0))
-        best = seen.select("bucket", gain.alias("gain")).orderBy(
-            F.desc("gain"), "bucket").limit(FEATURES)
+        signs = a * (all_ - yes) > LIFT * (n - a) * yes
+        best = (seen.where(signs).select("bucket", gain.alias("gain"))
+                .where(F.col("gain") >= LEAST_GAIN).orderBy(F.desc("gain"), "bucket")
+                .limit(FEATURES))
         for r in best.collect():
             kept.setdefault(r["bucket"], len(kept))
     return kept
