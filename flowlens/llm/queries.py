@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import ann, bpe, chat, credentials, fingerprint, packing, sharding, toxicity
+from flowlens.llm import ann, bpe, chat, credentials, fingerprint, neardup, packing, sharding, toxicity
 from flowlens.llm.common import read
 
 RANKS, TOKENIZER = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
@@ -36,6 +36,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "source")
 
 
+def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(read(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -60,6 +64,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_sharding": op2_sharding,
+    "op3_neardup": op3_neardup,
     "op4_toxicity": op4_toxicity,
     "op5_secrets": op5_secrets,
     "op6_fingerprint": op6_fingerprint,
