@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import ann, bpe, chat, credentials, fingerprint, neardup, packing, sharding, toxicity
+from flowlens.llm import ann, bpe, chat, credentials, fingerprint, neardup, packing, sharding, spans, toxicity
 from flowlens.llm.common import read
 
 RANKS, TOKENIZER = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
@@ -56,6 +56,10 @@ def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read(spark, sf_dir, "embeddings"))
 
 
+def op8_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.dedup(read(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER),
                         public_tokenizers.PATTERN)
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secrets": op5_secrets,
     "op6_fingerprint": op6_fingerprint,
     "op7_neighbours": op7_neighbours,
+    "op8_spans": op8_spans,
     "op9_packing": op9_packing,
     "op10_bpe": op10_bpe,
 }
