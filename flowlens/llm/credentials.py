@@ -26,10 +26,14 @@ KINDS = {**STRONG, **WEAK}
 REDACTED = "[SECRET]"
 
 
-def _pieces(text: Column, kind: str) -> Column:
-    """Outside, match, outside, ... of one kind, with lengths; empty if nothing matches."""
+def _marked(text: Column, kind: str) -> Column:
+    """The text cut at the matches of one kind: outside, match, outside, ..."""
+    return F.split(F.regexp_replace(text, KINDS[kind][0], f"{MARK}$0{MARK}"), MARK, -1)
+
+
+def _pieces(cut: Column, kind: str) -> Column:
+    """The lengths of the pieces, and which of them are findings; empty if nothing matches."""
     pattern, least = KINDS[kind]
-    cut = F.split(F.regexp_replace(text, pattern, f"{MARK}$0{MARK}"), MARK, -1)
 
     def piece(p, i):
         told = F.char_length(F.regexp_extract(p, pattern, 2) if kind == "assign" else p) >= least
@@ -38,7 +42,8 @@ def _pieces(text: Column, kind: str) -> Column:
         return F.struct(F.lit(list(KINDS).index(kind)).alias("kind"), i.alias("i"),
                         F.char_length(p).alias("length"), ((i % 2 == 1) & told).alias("hit"))
 
-    return F.filter(F.transform(cut, piece), lambda _: F.size(cut) > 1)
+    return F.when(F.size(cut) > 1, F.transform(cut, piece)).otherwise(
+        F.array().cast("array<struct<kind:int,i:int,length:int,hit:boolean>>"))
 
 
 def spans(docs: DataFrame) -> DataFrame:
@@ -50,7 +55,8 @@ def spans(docs: DataFrame) -> DataFrame:
     text = F.translate(F.coalesce("text", F.lit("")), MARK, STAND_IN)
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id",
                        F.xxhash64("text").alias("_h"), text.alias("_t"))
-    found = F.concat(*[_pieces(F.col("_t"), kind) for kind in KINDS],
+    rows = rows.withColumns({f"_{kind}": _marked(F.col("_t"), kind) for kind in KINDS})
+    found = F.concat(*[_pieces(F.col(f"_{kind}"), kind) for kind in KINDS],
                      F.array(F.lit(None)))  # the row of nulls
     parts = rows.select("_row", "doc_id", "_h", F.explode(found).alias("p")).repartition("_row")
     upto = Window.partitionBy("_row", "p.kind").orderBy("p.i")

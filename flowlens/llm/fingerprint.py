@@ -41,11 +41,15 @@ def with_codes(df: DataFrame, text: str, out: str) -> DataFrame:
     df = df.withColumn("_h", F.sort_array(shingles)).drop("_w")
     least = F.filter("_h", lambda h, i: (i == 0) | (_bin(h) != _bin(F.get("_h", i - 1))))
     df = df.withColumn("_f", least).drop("_h")
-    filled = F.map_from_entries(F.transform("_f", lambda h: F.struct(_bin(h), h)))
-    df = df.withColumn("_m", filled)
-    every = F.sequence(F.lit(0), F.lit(BINS - 1))
-    df = df.withColumn("_d", F.transform(every, lambda b: F.try_element_at("_m", b))).drop("_m")
-
+    # the bins in order, with nulls for the empty ones between them
+    def gap(upto, after):
+        return F.array_repeat(F.lit(None).cast("bigint"), upto - after - 1)
+
+    filled = F.transform("_f", lambda h, i: F.concat(
+        gap(_bin(h), F.when(i > 0, _bin(F.get("_f", i - 1))).otherwise(-1)), F.array(h)))
+    df = df.withColumn("_d", F.concat(
+        F.flatten(filled), gap(F.lit(BINS), F.coalesce(_bin(F.get("_f", F.size("_f") - 1)),
+                                                       F.lit(-1)))))
     def borrowed(b):
         tries = [F.get("_d", F.pmod(F.xxhash64(b, F.lit(k)), F.lit(BINS)).cast("int"))
                  for k in range(1, ATTEMPTS + 1)]
@@ -54,8 +58,7 @@ def with_codes(df: DataFrame, text: str, out: str) -> DataFrame:
         return [*tries, rest]
 
     low = F.lit((1 << CODE_BITS) - 1)
-    codes = F.transform(every, lambda b: F.coalesce(F.get("_d", b), *borrowed(b))
-                        .bitwiseAND(low).cast("int"))
+    codes = F.transform("_d", lambda h, b: F.coalesce(h, *borrowed(b)).bitwiseAND(low).cast("int"))
     return df.withColumn(out, F.when(F.size("_f") > 0, codes).otherwise(
         F.array().cast("array<int>"))).drop("_f", "_d")
 
