@@ -5,8 +5,8 @@ even. Every row goes to its nearest centroid, and a row near a border also to ot
 that are hardly farther.
 Centroids are found by a beam search over a neighbour graph held in memory, whose size is
 bounded by ``MAX_LISTS``. A query reads the lists whose centroids are within a ratio of the
-nearest one's distance; the ratio is calibrated on the sample. Lists and query groups of more than ``BLOCK`` rows are split, so a very
-common vector or query is spread over many tasks.
+nearest one's distance; the ratio is calibrated on the sample. Short lists share a group, long
+ones and large groups of queries are split, so a very common vector is spread over many tasks.
 
 Largest inner product becomes least distance by one more component that gives every row
 the same length.
@@ -29,9 +29,9 @@ ROUNDS, PRICE = 12, 0.15
 #: Copies of a row at most, and how much farther than the nearest a copy's centroid may be.
 COPIES, COPY_RATIO = 4, 1.005
 #: Share of true neighbours to meet, queries that calibrate it, and rows a query reads at least.
-TARGET, CALIBRATION, READ_ROWS = 0.88, 256, 400
-#: Neighbours in the graph, and rows that meet in one group.
-DEGREE, BLOCK = 16, 2_000
+TARGET, CALIBRATION, READ_ROWS = 0.95, 256, 400
+#: Neighbours in the graph, and rows and queries that meet in one group.
+DEGREE, GROUP_ROWS, GROUP_QUERIES = 16, 8_192, 4_096
 NEAREST = 20
 
 
@@ -121,6 +121,7 @@ def fit(sample: np.ndarray, lists: int, longest: float, n: int, seed: int = 5) -
     np.fill_diagonal(gaps, np.inf)
     near = np.argsort(gaps, axis=1)[:, :min(DEGREE, lists - 1)]
     ring = np.roll(np.arange(lists), 1)[:, None]  # keeps the graph in one piece
+    ring = np.where((near == ring).any(1, keepdims=True), np.arange(lists)[:, None], ring)
     graph = np.hstack([near, ring]) if lists > 1 else np.zeros((1, 1), int)
     entries = rng.choice(lists, min(lists, max(8, int(lists ** 0.5))), replace=False)
     index = Index(c, graph, entries, longest)
@@ -154,6 +155,21 @@ def calibrated(index: Index, sample: np.ndarray, n: int) -> tuple[float, int]:
     return least, int(min(len(c), 16 + 1.25 * (ratio <= least).sum(1).max()))
 
 
+def grouped(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First group and number of groups of each list: small lists share one, large ones are split."""
+    first, blocks = np.zeros(len(sizes), dtype=int), np.maximum(1, -(-sizes // GROUP_ROWS))
+    group, rows = 0, 0
+    for i, n in enumerate(sizes):
+        if blocks[i] > 1 or rows + n > GROUP_ROWS:
+            group, rows = group + (rows > 0), 0
+        first[i] = group
+        if blocks[i] > 1:
+            group += blocks[i]
+        else:
+            rows += n
+    return first, blocks
+
+
 def usable(vectors: DataFrame) -> tuple[DataFrame, float, int]:
     """Rows that take part, the greatest squared length, and their number.
 
@@ -203,52 +219,65 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = NEAREST) -> DataFrame:
     posted = staged(rows.mapInPandas(deal, f"vec_id long, embedding {kind}, list int"), "lists")
     count = {r["list"]: r["n"] for r in posted.groupBy("list").agg(F.count("*").alias("n")).collect()}
     sizes = np.array([count.get(i, 0) for i in range(lists)])
+    first, blocks = grouped(sizes)
 
     def ask(batches):
         for batch in batches:
-            if len(batch):
-                at, found = index.value.reads(_matrix(batch["embedding"]), sizes)
-                yield batch.iloc[at].rename(columns={"vec_id": "query_id"}).assign(list=found)
+            if not len(batch):
+                continue
+            at, found = index.value.reads(_matrix(batch["embedding"]), sizes)
+            wide = np.repeat(np.arange(len(at)), blocks[found])
+            nth = np.arange(len(wide)) - np.searchsorted(wide, wide)
+            pairs = pd.DataFrame({"at": at[wide], "group": first[found][wide] + nth,
+                                  "lists": found[wide]})
+            told = pairs.groupby(["at", "group"])["lists"].agg(list).reset_index()
+            yield pd.DataFrame({
+                "query_id": batch["vec_id"].to_numpy()[told["at"]],
+                "embedding": batch["embedding"].to_numpy()[told["at"]],
+                "group": told["group"], "lists": told["lists"]})
 
     asked = staged(rows.where(F.col("vec_id") % every == 0).mapInPandas(
-        ask, f"query_id long, embedding {kind}, list int"), "asked")
-    asks = {r["list"]: r["n"] for r in asked.groupBy("list").agg(F.count("*").alias("n")).collect()}
-    parts = spark.createDataFrame(
-        [(i, int(c) // BLOCK + 1, asks.get(i, 0) // BLOCK + 1) for i, c in enumerate(sizes)],
-        "list int, _blocks int, _turns int")
-
-    def spread(df, key, own, other, own_n, other_n):
-        mine = F.pmod(F.xxhash64(key), F.col(own_n)).cast("int").alias(own)
-        return df.join(F.broadcast(parts), "list").select(
-            key, "embedding", "list", mine,
-            F.explode(F.sequence(F.lit(0), F.col(other_n) - 1)).alias(other))
-
-    left = spread(posted, "vec_id", "block", "turn", "_blocks", "_turns")
-    right = spread(asked, "query_id", "turn", "block", "_turns", "_blocks")
+        ask, f"query_id long, embedding {kind}, group int, lists array<int>"), "asked")
+    most = asked.groupBy("group").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    turns = most // GROUP_QUERIES + 1
+    places = spark.createDataFrame(
+        [(i, int(a), int(b)) for i, (a, b) in enumerate(zip(first, blocks))],
+        "list int, _first int, _blocks int")
+    left = posted.join(F.broadcast(places), "list").select(
+        "vec_id", "embedding", "list",
+        (F.col("_first") + F.pmod(F.xxhash64("vec_id"), "_blocks")).cast("int").alias("group"),
+        F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("turn"))
+    right = asked.withColumn("turn", F.pmod(F.xxhash64("query_id"), F.lit(turns)).cast("int"))
 
     def score(rows_, queries):
-        if not len(rows_) or not len(queries):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        ids, x = rows_["vec_id"].to_numpy(), _matrix(rows_["embedding"])
-        asked_, q = queries["query_id"].to_numpy(), _matrix(queries["embedding"])
-        out = []
-        for at in range(0, len(q), 64):
-            mine, ask_ids = q[at:at + 64], asked_[at:at + 64]
-            s = mine @ x.T
-            s[ask_ids[:, None] == ids] = -np.inf
-            least = np.partition(s, max(0, len(ids) - k), axis=1)[:, max(0, len(ids) - k)]
-            # the product's rounding may differ from that of the exact sum
-            near = (s >= least[:, None] - 1e-9 * max(1.0, longest)) & (s > -np.inf)
-            i, j = np.nonzero(near)
-            exact = (x[j] * mine[i]).sum(1)
-            order = np.lexsort((ids[j], -exact, i))
-            i, j, exact = i[order], j[order], exact[order]
-            top = np.arange(len(i)) - np.searchsorted(i, i) < k
-            out.append(pd.DataFrame({"query_id": ask_ids[i[top]], "vec_id": ids[j[top]],
-                                     "score": exact[top]}))
-        return pd.concat(out)
-
-    keys = ["list", "block", "turn"]
+        """The best of one group of lists for the queries that read any of them."""
+        out = [pd.DataFrame({"q": [], "vec_id": [], "score": []})]
+        q = _matrix(queries["embedding"]) if len(queries) else None
+        names = queries["query_id"].to_numpy()
+        reads = queries["lists"].explode() if len(queries) else pd.Series(dtype=int)
+        readers = {k: v.to_numpy() for k, v in
+                   pd.Series(np.arange(len(queries)).repeat(queries["lists"].str.len())
+                             if len(queries) else []).groupby(reads.to_numpy())}
+        for name, part in rows_.groupby("list"):
+            ids, x = part["vec_id"].to_numpy(), _matrix(part["embedding"])
+            mine = readers.get(name, np.zeros(0, int))
+            for at in range(0, len(mine), 64):
+                some = mine[at:at + 64]
+                s = q[some] @ x.T
+                s[names[some][:, None] == ids] = -np.inf
+                least = np.partition(s, max(0, len(ids) - k), axis=1)[:, max(0, len(ids) - k)]
+                # the product's rounding may differ from that of the exact sum
+                near = (s >= least[:, None] - 1e-9 * max(1.0, longest)) & (s > -np.inf)
+                i, j = np.nonzero(near)
+                out.append(pd.DataFrame({"q": some[i], "vec_id": ids[j],
+                                         "score": (x[j] * q[some[i]]).sum(1)}))
+        found = pd.concat(out).drop_duplicates(["q", "vec_id"]).sort_values(
+            ["q", "score", "vec_id"], ascending=[True, False, True])
+        top = found[found.groupby("q").cumcount() < k]
+        return pd.DataFrame({"query_id": names[top["q"].to_numpy(int)], "vec_id": top["vec_id"],
+                             "score": top["score"]})
+
+    keys = ["group", "turn"]
     scored = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
         score, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
