@@ -135,11 +135,12 @@ def redact(docs: DataFrame) -> DataFrame:
     findings by id and a hash of the text, so rows that share an id are told apart.
     """
     hits = (scan(docs).where(F.size("findings") > 0)
-            .select(F.col("doc_id").alias("_id"), F.col("_h").alias("_hash"), "findings")
+            .select(F.col("doc_id").alias("_id"), F.col("_h").alias("_hash"),
+                    F.col("findings").alias("_found"))
             .dropDuplicates(["_id", "_hash"]))
     joined = docs.join(hits, F.col("doc_id").eqNullSafe(F.col("_id"))
                        & (F.xxhash64("text") == F.col("_hash")), "left")
-    rows = joined.withColumn("_m", merged(F.col("findings")))
+    rows = joined.withColumn("_m", merged(F.col("_found")))
 
     def piece(m, i):
         at = F.when(i > 0, F.get("_m", i - 1).end).otherwise(F.lit(0))

@@ -24,15 +24,15 @@ from pyspark.sql import functions as F
 from flowlens.llm.common import mapped, staged, texts_of
 
 #: Labelled documents used for fitting, folds, and hash buckets of the features.
-SAMPLE, FOLDS, BUCKETS = 20_000, 5, 1 << 20
+SAMPLE, FOLDS, BUCKETS = 30_000, 5, 1 << 20
 #: Features kept for each category, and documents that a feature must occur in.
-FEATURES, LEAST_DOCS = 400, 4
+FEATURES, LEAST_DOCS = 800, 4
 #: How much more frequent in the category a feature must be, and its least likelihood gain.
-LIFT, LEAST_GAIN = 4, 8
+LIFT, LEAST_GAIN = 6, 6
 #: Lengths of the word beginnings that count as features next to the word itself.
 BEGINNINGS = (4, 5, 6)
 #: Weight of the squared coefficients against the summed loss, and steps of a fit.
-RIDGE, STEPS = 0.1, 60
+RIDGE, STEPS = 0.05, 60
 THRESHOLD = 0.5
 MAX_WORDS = 300_000
 EDGES = ".,;:!?\"'()[]{}<>*#%&-_/\\|«»„“”‘’…"
