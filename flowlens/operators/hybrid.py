@@ -5,12 +5,13 @@ Input columns: ``pred_class, pred_conf, is_anomalous, category, binary_label, is
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.functions import columns as C
 from flowlens.schema import CONF_THRESHOLD, SUSPECT_LABEL
 
+# Output labels.
 ROUTES = ["Known Attack Class", "Normal", SUSPECT_LABEL]
 GROUPS = ["Normal", "Known Attack", "True Zero-Day Attack"]
 
@@ -39,8 +40,9 @@ def hybrid_accuracy(routed: DataFrame) -> DataFrame:
     return routed.agg(F.avg(_correct()).alias("hybrid_accuracy"))
 
 
-def hybrid_summary(routed: DataFrame) -> DataFrame:
-    """Routing rates, accuracy and subset sizes in one aggregate."""
+def hybrid_summary(routed: DataFrame, anomaly_threshold: Column | float,
+                   conf_threshold: float = CONF_THRESHOLD) -> DataFrame:
+    """Routing rates, accuracy, subset sizes and the two thresholds, in one aggregate."""
     suspect = F.col("final_label") == SUSPECT_LABEL
     novel = F.col("is_novel") == 1
     known = (F.col("binary_label") == 1) & ~novel
@@ -52,17 +54,25 @@ def hybrid_summary(routed: DataFrame) -> DataFrame:
         F.avg(_correct()).alias("hybrid_accuracy"),
         F.count_if(novel).alias("n_zero_day"),
         F.count_if(known).alias("n_known"),
-        F.count_if(normal).alias("n_normal"))
+        F.count_if(normal).alias("n_normal")).select(
+        "*", F.lit(conf_threshold).alias("conf_threshold"),
+        (anomaly_threshold if isinstance(anomaly_threshold, Column)
+         else F.lit(float(anomaly_threshold))).alias("anomaly_threshold"))
 
 
 def routing_crosstab(routed: DataFrame) -> DataFrame:
-    """Share of each route within each truth group, in a fixed row order."""
+    """Share of each route within each truth group: three rows in a fixed order.
+
+    A group without rows keeps its row, with null shares.
+    """
     group = C.truth_group(F.col("is_novel"), F.col("binary_label")).alias("true_group")
     counts = (routed.groupBy(group).pivot("routed_to", ROUTES).agg(F.count(F.lit(1)))
                     .na.fill(0, ROUTES))
     size = sum((F.col(f"`{r}`") for r in ROUTES[1:]), F.col(f"`{ROUTES[0]}`"))
-    place = F.array_position(F.array(*[F.lit(g) for g in GROUPS]), F.col("true_group"))
+    groups = routed.sparkSession.range(len(GROUPS)).select(
+        (F.col("id") + 1).cast("int").alias("row_order"),
+        F.element_at(F.array(*map(F.lit, GROUPS)), F.col("id").cast("int") + 1).alias("true_group"))
     names = ["known_attack_class", "normal", "unknown"]
-    return counts.select(
-        place.cast("int").alias("row_order"), "true_group",
+    return groups.join(counts, "true_group", "left").select(
+        "row_order", "true_group",
         *[(F.col(f"`{r}`") / size).alias(n) for r, n in zip(ROUTES, names)]).orderBy("row_order")

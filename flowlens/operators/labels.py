@@ -16,8 +16,8 @@ def clean_label(df: DataFrame, col: str = "label", out: str = "attack_type") ->
 
 def map_category(df: DataFrame, taxonomy: DataFrame, key: str = "attack_type",
                  default: str = UNKNOWN_CATEGORY) -> DataFrame:
-    """Attach ``category``. The taxonomy is a fixed table of 40 rows, so it is broadcast."""
-    dim = F.broadcast(taxonomy.select(F.col("attack_type").alias(key), "category"))
+    """Attach ``category``; Spark broadcasts the taxonomy if its statistics say it is small."""
+    dim = taxonomy.select(F.col("attack_type").alias(key), "category")
     return df.join(dim, key, "left").withColumn(
         "category", F.coalesce("category", F.lit(default)))
 

@@ -80,10 +80,12 @@ class LocalOutlierFactor:
 
     def fit(self, df: DataFrame, key: str = "flow_id", features: str = "x") -> LofModel:
         spark = df.sparkSession
-        sample = seeded_sample(df.select(key, features), self.n_max, self.seed, key).toPandas()
-        rows = np.stack(sample[features].to_numpy()).astype(float)
-        if rows.nbytes > self.max_bytes:
-            raise ValueError(f"neighbour index of {rows.nbytes} bytes; lower n_max")
+        chosen = seeded_sample(df.select(key, features), self.n_max, self.seed, key)
+        one = chosen.select(features).first()
+        size = 8 * self.n_max * len(one[0]) if one else 0
+        if size > self.max_bytes:
+            raise ValueError(f"neighbour index of up to {size} bytes; lower n_max")
+        rows = np.stack(chosen.toPandas()[features].to_numpy()).astype(float)
         n, k = len(rows), min(self.k, len(rows) - 1)
         pool = spark.sparkContext.broadcast(rows)
 

@@ -35,7 +35,7 @@ def running_totals(points: DataFrame, by: list[str], order: str, totals: list[st
     """Add ``cum_<c>`` per total, running over ``order`` within ``by``.
 
     ``points`` holds one row per (by, order). ``peek`` also adds ``next_<c>``, the total of
-    the following row; it is null at the end of a group or of a range.
+    the following row; it is null at the end of a group.
     """
     points = points.persist(StorageLevel.MEMORY_AND_DISK)
     sort_key = F.desc(order) if descending else F.asc(order)
@@ -57,12 +57,18 @@ def running_totals(points: DataFrame, by: list[str], order: str, totals: list[st
               .withColumn("_range", _range_index(F.col(order), F.col("_cuts"), per_side))
               .drop("_cuts"))
     range_key = F.desc("_range") if descending else F.asc("_range")
-    sums = ranged.groupBy(*by, "_range").agg(*[F.sum(c).alias(c) for c in totals])
+    first = (F.max_by if descending else F.min_by)(F.struct(*totals), order)
+    sums = ranged.groupBy(*by, "_range").agg(*[F.sum(c).alias(c) for c in totals],
+                                             first.alias("_first"))
+    following = F.lead("_first").over(Window.partitionBy(*by).orderBy(range_key))
     before = cumulate(sums, by, range_key, totals, [f"_upto_{c}" for c in totals]).select(
-        *by, "_range", *[(F.col(f"_upto_{c}") - F.col(c)).alias(f"_before_{c}") for c in totals])
+        *by, "_range", following.alias("_following"),
+        *[(F.col(f"_upto_{c}") - F.col(c)).alias(f"_before_{c}") for c in totals])
     local = cumulate(ranged, [*by, "_range"], sort_key, totals, cum, ahead)
     joined = lookup_join(local, before, [*by, "_range"], "inner", spread_by=order)
-    return joined.select(*points.columns, *ahead, *[
+    # the last row of a range is followed by the first of the next range that has rows
+    seen = [F.coalesce(F.col(n), F.col(f"_following.{c}")).alias(n) for n, c in zip(ahead, totals)]
+    return joined.select(*points.columns, *seen, *[
         (F.col(f"cum_{c}") + F.col(f"_before_{c}")).alias(f"cum_{c}") for c in totals])
 
 
@@ -135,12 +141,14 @@ def _fraction(a: str, b: str) -> Column:
 def roc_points(scored: DataFrame, by: list[str], thin: bool = False, **ranges) -> DataFrame:
     """fpr and tpr at every threshold, from (0, 0); the start has no threshold.
 
-    ``thin`` drops points followed by an equal step, which lie on a straight line.
+    ``thin`` drops points followed by an equal step, which lie on a straight line; the point of
+    the highest score stays.
     """
     ranked = _ranked(score_counts(scored, by), by, peek=thin, **ranges)
     if thin:
         same = F.col("next_pos").eqNullSafe(F.col("pos")) & F.col("next_neg").eqNullSafe(F.col("neg"))
-        ranked = ranked.filter(~same)
+        top = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
+        ranked = ranked.filter(top | ~same)
     points = ranked.select(*by, F.col("score").alias("threshold"),
                            _fraction("cum_neg", "_n").alias("fpr"),
                            _fraction("cum_pos", "_p").alias("tpr"))

@@ -111,10 +111,10 @@ PREDICTIONS = """pred AS (
 SELECT 'binary' AS task, 'rule' AS model,
        CASE WHEN binary_label = 1 THEN 'Attack' ELSE 'Normal' END AS truth,
        CASE WHEN pred_class = 'Normal' THEN 'Normal' ELSE 'Attack' END AS guess
-FROM scored WHERE category <> 'Unknown'
+FROM scored
 UNION ALL SELECT 'binary', 'majority',
        CASE WHEN binary_label = 1 THEN 'Attack' ELSE 'Normal' END, 'Normal'
-FROM scored WHERE category <> 'Unknown'
+FROM scored
 UNION ALL SELECT 'multiclass', 'rule', category, pred_class
 FROM scored WHERE category <> 'Unknown'
 UNION ALL SELECT 'multiclass', 'majority', category, 'Normal'
@@ -232,11 +232,13 @@ _CASE = ("SELECT flow_id, attack_type, category, pred_class, round(pred_conf, 6)
          "FROM scored WHERE ")
 
 LOF = """vec AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+pool AS (SELECT * FROM vec WHERE label < 5
+         ORDER BY md5(concat(CAST(vec_id AS VARCHAR), ':42')), CAST(vec_id AS VARCHAR) LIMIT 20000),
 near AS (SELECT * FROM (
     SELECT a.vec_id AS a_id, b.vec_id AS b_id, list_distance(a.x, b.x) AS d,
            row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.x, b.x), b.vec_id)
                AS place
-    FROM vec a JOIN vec b ON a.vec_id <> b.vec_id WHERE a.label < 5 AND b.label < 5)
+    FROM pool a JOIN pool b ON a.vec_id <> b.vec_id)
     WHERE place <= 35),
 reach AS (SELECT a_id AS vec_id, max(d) AS k_distance FROM near GROUP BY a_id),
 density AS (SELECT near.a_id AS vec_id, 1 / (avg(greatest(d, k_distance)) + 1e-10) AS lrd
@@ -245,7 +247,7 @@ asked AS (SELECT * FROM (
     SELECT a.vec_id AS a_id, a.label, b.vec_id AS b_id, list_distance(a.x, b.x) AS d,
            row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.x, b.x), b.vec_id)
                AS place
-    FROM vec a JOIN vec b ON b.label < 5)
+    FROM vec a CROSS JOIN pool b)
     WHERE place <= 35)"""
 
 _WIDE = ", ".join(
@@ -383,9 +385,9 @@ def oracle_sql() -> dict[str, str]:
         "roc_curve_thin": _detections(
             "SELECT model, round(score, 6) AS threshold, round(fp / n, 6) AS fpr, "
             "round(tp / p, 6) AS tpr FROM (SELECT *, lead(pos) OVER w AS next_pos, "
-            "lead(neg) OVER w AS next_neg FROM cum "
-            "WINDOW w AS (PARTITION BY model ORDER BY score DESC)) "
-            "WHERE pos IS DISTINCT FROM next_pos OR neg IS DISTINCT FROM next_neg "
+            "lead(neg) OVER w AS next_neg, row_number() OVER w AS place FROM cum "
+            "WINDOW w AS (PARTITION BY model ORDER BY score DESC)) WHERE place = 1 "
+            "OR pos IS DISTINCT FROM next_pos OR neg IS DISTINCT FROM next_neg "
             "UNION ALL SELECT DISTINCT model, CAST(NULL AS DOUBLE), 0, 0 FROM cum"),
         "pr_curve": _detections(
             "SELECT model, round(score, 6) AS threshold, round(tp / (tp + fp), 6) AS precision, "
@@ -401,16 +403,18 @@ def oracle_sql() -> dict[str, str]:
             "round(avg(CAST(correct AS int)), 6) AS hybrid_accuracy, "
             "count(*) FILTER (WHERE is_novel = 1) AS n_zero_day, "
             "count(*) FILTER (WHERE is_novel = 0 AND binary_label = 1) AS n_known, "
-            "count(*) FILTER (WHERE binary_label = 0) AS n_normal FROM routed"),
+            "count(*) FILTER (WHERE binary_label = 0) AS n_normal, 0.6e0 AS conf_threshold, "
+            "round((SELECT threshold FROM lim), 6) AS anomaly_threshold FROM routed"),
         "hybrid_accuracy": _routed("SELECT round(avg(CAST(correct AS int)), 6) "
                                    "AS hybrid_accuracy FROM routed"),
         "routing_crosstab": _routed(
-            "SELECT CAST(CASE true_group WHEN 'Normal' THEN 1 WHEN 'Known Attack' THEN 2 "
-            "ELSE 3 END AS INT) AS row_order, true_group, "
+            "SELECT g.row_order, g.true_group, "
             + ", ".join(f"round(avg(CAST(routed_to = '{route}' AS int)), 6) AS {name}"
                         for route, name in (("Known Attack Class", "known_attack_class"),
                                             ("Normal", "normal"), (SUSPECT_LABEL, "unknown")))
-            + " FROM routed GROUP BY true_group"),
+            + " FROM (VALUES (1, 'Normal'), (2, 'Known Attack'), (3, 'True Zero-Day Attack')) "
+              "AS g(row_order, true_group) LEFT JOIN routed USING (true_group) "
+              "GROUP BY g.row_order, g.true_group"),
         "attribution_importance": _sql(
             "SELECT feature, round(mean_abs_shap, 6) AS mean_abs_shap FROM importance",
             "typed", PLAIN),

@@ -47,11 +47,14 @@ def train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return tuple(everything.filter(F.col("split") == s) for s in ("train", "test"))
 
 
+def rule_limit(scored: DataFrame) -> DataFrame:
+    return ranking.threshold_percentile(scored, [], 0.95, "anomaly_score")
+
+
 def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule scores with ``is_anomalous`` at the 95th percentile of normal rows."""
     scored = tables.scored(spark, sf_dir)
-    limit = ranking.threshold_percentile(scored, [], 0.95, "anomaly_score")
-    return ranking.flag(scored, limit, [], "anomaly_score")
+    return ranking.flag(scored, rule_limit(scored), [], "anomaly_score")
 
 
 def routed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -372,7 +375,10 @@ def detector_summary(spark, sf_dir):
 
 @query
 def hybrid_summary(spark, sf_dir):
-    return rounded(hybrid.hybrid_summary(routed(spark, sf_dir)))
+    scored = tables.scored(spark, sf_dir)
+    limit = rule_limit(scored)
+    rows = hybrid.route(ranking.flag(scored, limit, [], "anomaly_score"))
+    return rounded(hybrid.hybrid_summary(rows, limit.select("threshold").scalar()))
 
 
 @query
@@ -663,7 +669,8 @@ def full_report(spark, sf_dir):
 @query
 def model_hybrid_summary(spark, sf_dir):
     ws = Workspace.of(spark, sf_dir)
-    return rounded(hybrid.hybrid_summary(scoring.score(ws.test, ws.bundle)))
+    return rounded(hybrid.hybrid_summary(scoring.score(ws.test, ws.bundle),
+                                         ws.bundle.anomaly_threshold, ws.bundle.conf_threshold))
 
 
 # Explanation

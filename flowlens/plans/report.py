@@ -13,7 +13,7 @@ from flowlens.operators import (classify, confusion, detect, explain, features,
 from flowlens.operators.iforest import IsolationForest
 from flowlens.operators.lof import LocalOutlierFactor
 from flowlens.schema import (BINARY_ORDER, CATEGORY_ORDER, CONF_THRESHOLD, NOMINAL_COLUMNS,
-                             feature_columns)
+                             UNKNOWN_CATEGORY, feature_columns)
 from flowlens.sources.bundle import Bundle
 from flowlens.streaming import scoring
 
@@ -113,10 +113,18 @@ def report(everything: DataFrame, settings: Settings | None = None) -> dict[str,
             pred.filter("task = 'binary'"), BINARY_ORDER, by),
         "class_report_multiclass": confusion.class_report(
             pred.filter("task = 'multiclass'"), CATEGORY_ORDER, by),
+        "confusion_binary": confusion.confusion(
+            pred.filter("task = 'binary'"), BINARY_ORDER, by, normalize=True),
         "confusion_multiclass": confusion.confusion(
             pred.filter("task = 'multiclass'"), CATEGORY_ORDER, by, normalize=True),
+        "roc_points": ranking.roc_points(scores, ["model"], thin=True),
+        "pr_points": ranking.pr_points(scores, ["model"]),
+        "rows_without_class": everything.groupBy("split").agg(
+            F.count_if(F.col("category") == UNKNOWN_CATEGORY).alias("n_left_out"),
+            F.count("*").alias("n_rows")),
         "anomaly_summary": ranking.detector_summary(scores, ["model"]),
-        "hybrid_summary": hybrid.hybrid_summary(routed),
+        "hybrid_summary": hybrid.hybrid_summary(
+            routed, bundle.anomaly_threshold, bundle.conf_threshold),
         "hybrid_routing_breakdown": hybrid.routing_crosstab(routed),
         "shap_top_features": selection.top_features(explain.shap_importance(shap)),
         "shap_direction": explain.shap_direction(shap),

@@ -12,6 +12,9 @@ from flowlens.operators.labels import derive_labels
 from flowlens.schema import flow_schema, taxonomy
 from flowlens.session import stage
 
+#: Equal rows that one task numbers at a time.
+EQUAL_ROWS = 10_000
+
 
 def field_count_profile(spark: SparkSession, path: str) -> DataFrame:
     """Rows per number of comma-separated fields, blank lines left out."""
@@ -20,27 +23,45 @@ def field_count_profile(spark: SparkSession, path: str) -> DataFrame:
     return lines.groupBy(n_fields.alias("n_fields")).agg(F.count("*").alias("n_rows"))
 
 
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).filter(F.trim("value") != "")
+
+
 def detect_schema(spark: SparkSession, path: str) -> T.StructType:
-    """Schema without or with the trailing difficulty, judged on every row of the file."""
+    """Schema without or with the trailing difficulty, judged by one line.
+
+    Every other line is held to it while it is scanned.
+    """
     variants = {len(s): s for s in (flow_schema(), flow_schema(with_difficulty=True))}
-    # Two different counts are enough to refuse a file.
-    found = [r.n_fields for r in field_count_profile(spark, path).limit(2).collect()]
-    if len(found) != 1 or found[0] not in variants:
-        raise ValueError(f"unexpected field counts {sorted(found)} in {path}, "
+    line = _lines(spark, path).first()
+    found = len(line.value.split(",")) if line else 0
+    if found not in variants:
+        raise ValueError(f"unexpected field counts: {found} in {path}, "
                          f"expected one of {sorted(variants)}")
-    return variants[found[0]]
+    return variants[found]
 
 
 def read_flows(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Scan a flow file; a row that does not fit the schema fails the job."""
-    return spark.read.csv(path, schema=schema or detect_schema(spark, path), header=False,
-                          ignoreLeadingWhiteSpace=True, mode="FAILFAST")
+    """Scan a flow file in one pass; a line that does not fit the schema fails the job.
+
+    Fields are plain text between commas, without quotes; an empty field is null.
+    """
+    schema = schema or detect_schema(spark, path)
+    fields = F.split("value", ",", -1)
+    told = F.concat(F.lit(f"unexpected field counts: expected {len(schema)}, found "),
+                    F.size(fields).cast("string"))
+    # a filter, so that no projection can prune the check away
+    fits = F.when(F.size(fields) == len(schema), F.lit(True)).otherwise(
+        F.raise_error(told).cast("boolean"))
+    rows = _lines(spark, path).filter(fits).select(fields.alias("_f"))
+    return rows.select(*[F.nullif(F.ltrim(F.get("_f", F.lit(i))), F.lit("")).cast(f.dataType)
+                         .alias(f.name) for i, f in enumerate(schema)])
 
 
 def load_split(spark: SparkSession, train_path: str, test_path: str) -> DataFrame:
     """Both files as one frame with ``split`` and the derived label columns.
 
-    Stays lazy: a filter on ``split`` prunes the other file's scan.
+    Only one line of each file is read here; a filter on ``split`` prunes the other file's scan.
     """
     parts = [read_flows(spark, path).withColumn("split", F.lit(split))
              for split, path in (("train", train_path), ("test", test_path))]
@@ -48,14 +69,32 @@ def load_split(spark: SparkSession, train_path: str, test_path: str) -> DataFram
     return derive_labels(both, taxonomy(spark))
 
 
-def stage_flows(df: DataFrame, key: str = "flow_id", seed: int = 0) -> DataFrame:
-    """Give every row a unique key and store the table, split by ``split``.
+def with_keys(df: DataFrame, key: str = "flow_id", table: str = "") -> DataFrame:
+    """Give every row a unique key that depends on its file, its values and nothing else.
 
-    Flow files have no key, and every later stage relies on one. It is drawn once, while the
-    table is written, so all readers see the same keys.
+    Flow files have no key. It is made of a digest of ``table``, the file name and all values,
+    and of the number of the row among equal ones, so it is the same under any split size and
+    differs between files; rows of frames without a file need a ``table`` of their own.
+    Equal rows are counted before the shuffle, and many of them are dealt out in blocks.
     """
-    keyed = df.select(F.uuid(F.lit(seed)).alias(key), "*")
-    return stage(keyed, "flows", ["split"], spread_by=key)
+    values = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    digest = F.substring(F.sha2(F.concat_ws("|", F.lit(table), F.input_file_name(), values), 256),
+                         1, 32)
+    counted = df.select("*", digest.alias("_digest")).groupBy(*df.columns, "_digest").agg(
+        F.count("*").alias("_n"))
+    blocks = F.explode(F.sequence(F.lit(0), F.expr(f"(_n - 1) div {EQUAL_ROWS}")))
+    many = (counted.filter(F.col("_n") > EQUAL_ROWS).withColumn("_block", blocks)
+            .repartition("_digest", "_block"))
+    few = counted.filter(F.col("_n") <= EQUAL_ROWS).withColumn("_block", F.lit(0).cast("long"))
+    first = F.col("_block") * EQUAL_ROWS
+    nth = F.explode(F.sequence(first, F.least(first + EQUAL_ROWS, F.col("_n")) - 1))
+    rows = few.unionByName(many).withColumn("_nth", nth)
+    return rows.select(F.concat_ws("-", "_digest", "_nth").alias(key), *df.columns)
+
+
+def stage_flows(df: DataFrame, key: str = "flow_id", table: str = "") -> DataFrame:
+    """Give every row a unique key (see ``with_keys``) and store the table, split by ``split``."""
+    return stage(with_keys(df, key, table), "flows", ["split"], spread_by=key)
 
 
 def write_flows(df: DataFrame, path: str) -> None:

@@ -109,7 +109,10 @@ def detections(scored_df: DataFrame) -> DataFrame:
 
 
 def predictions(scored_df: DataFrame) -> DataFrame:
-    """Long prediction table of two models on two tasks; rows of unmapped class left out."""
+    """Long prediction table of two models on two tasks.
+
+    The binary task has every row; rows of unmapped class are left out of the five-class task.
+    """
     guess_bin = F.when(F.col("pred_class") == "Normal", "Normal").otherwise("Attack")
     truth_bin = F.when(F.col("binary_label") == 1, "Attack").otherwise("Normal")
 
@@ -122,5 +125,6 @@ def predictions(scored_df: DataFrame) -> DataFrame:
         row("binary", "majority", truth_bin, F.lit("Normal")),
         row("multiclass", "rule", F.col("category"), F.col("pred_class")),
         row("multiclass", "majority", F.col("category"), F.lit("Normal"))))
-    return (scored_df.filter("category <> 'Unknown'").withColumn("p", one_scan)
+    return (scored_df.withColumn("p", one_scan)
+                     .filter("p.task = 'binary' OR category <> 'Unknown'")
                      .select("p.task", "p.model", "flow_id", "p.truth", "p.guess"))
