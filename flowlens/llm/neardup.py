@@ -223,8 +223,12 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large-star and small-star rounds; every round is written to the shared folder.
     """
+    def told(df):
+        return df.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first()
+
     now = staged(edges.select("lo", "hi").distinct(), "edges")
-    while True:
+    before = told(now)
+    while before[0]:
         both = now.union(now.select("hi", "lo")).toDF("u", "v")
         # large star: larger neighbours move to the least one
         least = staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
@@ -235,17 +239,29 @@ def components(edges: DataFrame) -> DataFrame:
         low = staged(large.groupBy("v").agg(F.min("u").alias("m")), "low")
         small = large.join(low, "v").select(F.col("u").alias("x"), "m").union(
             low.select("v", "m")).where(F.col("x") != F.col("m"))
-        nxt = staged(small.distinct().select(F.col("m").alias("lo"), F.col("x").alias("hi")),
+        now = staged(small.distinct().select(F.col("m").alias("lo"), F.col("x").alias("hi")),
                      "edges")
-        told = [df.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first()
-                for df in (now, nxt)]
-        now = nxt
-        if told[0] == told[1]:
+        after = told(now)
+        if after == before:
             break
+        before = after
     ends = now.select(F.col("hi").alias("node"), F.col("lo").alias("label"))
     return ends.union(now.select("lo", "lo").distinct())
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after ``links`` (lo, hi) join classes: only the graph of classes is walked."""
+    ends = _labelled(_labelled(links, labels, "lo", "x"), labels, "hi", "y")
+    between = ends.select(F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi"))
+    between = staged(between.where(F.col("lo") != F.col("hi")).distinct(), "between")
+    if between.isEmpty():
+        return labels
+    parts = staged(components(between), "parts")
+    moved = _labelled(labels, parts, "label", "to").select("node", F.col("to").alias("label"))
+    alone = parts.join(labels.select("node"), "node", "left_anti").select("node", "label")
+    return staged(moved.union(alone), "labels")
+
+
 def _labelled(df: DataFrame, labels: DataFrame, column: str, out: str) -> DataFrame:
     """Add the class of ``column``; a node on no edge is a class of its own."""
     named = labels.select(F.col("node").alias(column), F.col("label").alias(out))
@@ -269,60 +285,66 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     member = made.select("doc_id", "a", "b").join(nodes.select("a", "b", "node"), ["a", "b"])
     member = staged(member.groupBy("doc_id").agg(F.min("node").alias("node")), "members")
 
+    # the members of buckets, and how many others each meets over all its buckets
     entries = nodes.select("node", "weight", F.explode("bands").alias("band"))
-    pivots = entries.groupBy("band").agg(
-        F.min(F.struct("node", "weight")).alias("p"), F.count("*").alias("n"))
-    pivots = staged(pivots.where(F.col("n") > 1).select(
-        "band", F.col("p.node").alias("pivot"), F.col("p.weight").alias("pivot_weight")), "pivots")
-    buckets = staged(entries.join(pivots, "band"), "buckets")
-    pairs = staged(buckets.where(fitting("weight", "pivot_weight") & (F.col("node") != F.col("pivot")))
-                   .groupBy("pivot", "node").agg(F.count("*").alias("n"))
-                   .select(F.col("pivot").alias("lo"), F.col("node").alias("hi"), "n"), "pairs")
-    wanted = buckets.select(F.col("node").alias("doc_id")).distinct()  # all that may be compared
-    texts = staged(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), "texts")
+    shared = staged(entries.groupBy("band").agg(F.count("*").alias("n")).where(F.col("n") > 1),
+                    "shared")
+    met = staged(entries.join(shared, "band"), "met")
+    centre = staged(met.groupBy("node").agg(F.sum("n").alias("centre")), "centre")
+    met = staged(met.join(centre, "node").select("band", "node", "weight", "centre"), "met")
+    # the pivot is the member that meets most: of copies with edits, most often the text they share
+    pivots = staged(met.groupBy("band").agg(F.max(F.struct(
+        "centre", (-F.col("node")).alias("m"), "weight")).alias("p")).select(
+        "band", (-F.col("p.m")).alias("pivot"), F.col("p.weight").alias("pivot_weight")), "pivots")
+    buckets = staged(met.join(pivots, "band").where(F.col("node") != F.col("pivot")), "buckets")
+    pairs = staged(buckets.where(fitting("weight", "pivot_weight")).groupBy("pivot", "node").agg(
+        F.count("*").alias("n")), "pairs")
+    texts = staged(docs.select("doc_id", "text").join(centre.select(F.col("node").alias("doc_id")),
+                                                      "doc_id", "left_semi"), "texts")
 
     # each node with the pivot it meets most, then only pairs between classes
-    best = pairs.groupBy("hi").agg(F.max(F.struct("n", (-F.col("lo")).alias("m"))).alias("b"))
-    best = staged(best.select((-F.col("b.m")).alias("lo"), "hi"), "best")
-    edges = staged(checked(best, texts), "links")
-    labels = staged(components(edges), "labels")
-    between = _labelled(_labelled(pairs, labels, "lo", "x"), labels, "hi", "y")
-    between = between.where(F.col("x") != F.col("y")).select("lo", "hi")
-    between = between.join(best, ["lo", "hi"], "left_anti")
-    edges = staged(edges.union(checked(between, texts)), "links")
-    members = buckets.where(F.col("node") != F.col("pivot")).select("band", "node", "weight")
-    return member, _closed(members, edges, pairs.select("lo", "hi"), texts)
-
-
-def _closed(members: DataFrame, edges: DataFrame, tested: DataFrame, texts: DataFrame) -> DataFrame:
+    best = pairs.groupBy("node").agg(F.max(F.struct("n", (-F.col("pivot")).alias("m"))).alias("b"))
+    best = staged(best.select((-F.col("b.m")).alias("pivot"), "node"), "best")
+    links = checked(best.select(F.least("pivot", "node").alias("lo"),
+                                F.greatest("pivot", "node").alias("hi")), texts)
+    labels = staged(components(links), "labels")
+    rest = pairs.select("pivot", "node").join(best, ["pivot", "node"], "left_anti")
+    rest = _labelled(_labelled(rest, labels, "pivot", "x"), labels, "node", "y")
+    rest = staged(rest.where(F.col("x") != F.col("y")).select(
+        F.least("pivot", "node").alias("lo"), F.greatest("pivot", "node").alias("hi")).distinct(),
+        "rest")
+    labels = merged(labels, checked(rest, texts))
+    return member, _closed(buckets.select("band", "node", "weight"), labels, texts)
+
+
+def _closed(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
     """Compare what is left of buckets that span classes, until no open pair is left.
 
-    ``members`` have met the pivot of their bucket. In each round the ``BLOCK`` least of an open
-    bucket meet its others of other classes, and leave: pairs grow with the rows of open
-    buckets, not with their square.
+    ``members`` have met the pivot of their bucket. In each round, of an open bucket, up to
+    ``BLOCK`` members outside its largest class meet all its members of other classes, and
+    leave: pairs grow with the rows of open buckets, not with their square.
     """
     while True:
-        labels = staged(components(edges), "labels")
         named = _labelled(members, labels, "node", "label")
         spans = named.groupBy("band").agg(F.min("label").alias("l0"), F.max("label").alias("l1"))
         spans = staged(spans.where(F.col("l0") != F.col("l1")).select("band"), "spans")
         members = staged(named.join(spans, "band"), "open")
         if members.isEmpty():
             return labels
+        largest = members.groupBy("band", "label").agg(F.count("*").alias("n")).groupBy("band").agg(
+            F.max(F.struct("n", "label")).alias("t")).select("band", F.col("t.label").alias("most"))
         rank = F.row_number().over(Window.partitionBy("band").orderBy("node"))
-        heads = staged(members.withColumn("r", rank).where(F.col("r") <= BLOCK).select(
-            "band", F.col("node").alias("head"), F.col("weight").alias("head_weight"),
-            F.col("label").alias("head_label")), "heads")
-        open_ = ((F.col("label") != F.col("head_label")) & (F.col("node") > F.col("head"))
-                 & fitting("weight", "head_weight"))
-        pairs = members.join(heads, "band").where(open_).select(
-            F.col("head").alias("lo"), F.col("node").alias("hi")).distinct()
-        pairs = staged(pairs.join(tested, ["lo", "hi"], "left_anti"), "pairs")
-        tested = staged(tested.union(pairs), "tested")
-        edges = staged(edges.union(checked(pairs, texts)), "links")
-        last = staged(heads.groupBy("band").agg(F.max("head").alias("last")), "last")
-        members = members.join(last, "band").where(F.col("node") > F.col("last")).select(
-            "band", "node", "weight")
+        heads = members.join(staged(largest, "largest"), "band").where(
+            F.col("label") != F.col("most")).withColumn("r", rank).where(F.col("r") <= BLOCK)
+        heads = staged(heads.select("band", F.col("node").alias("head"), F.col("weight").alias(
+            "head_weight"), F.col("label").alias("head_label")), "heads")
+        open_ = (F.col("label") != F.col("head_label")) & fitting("weight", "head_weight")
+        pairs = staged(members.join(heads, "band").where(open_).select(
+            F.least("head", "node").alias("lo"), F.greatest("head", "node").alias("hi")).distinct(),
+            "pairs")
+        labels = merged(labels, checked(pairs, texts))
+        left = heads.select("band", F.col("head").alias("node"))
+        members = members.join(left, ["band", "node"], "left_anti").select("band", "node", "weight")
 
 
 def classes(docs: DataFrame) -> DataFrame:
