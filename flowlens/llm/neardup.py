@@ -30,8 +30,8 @@ BANDS, ROWS = 32, 8
 COORDINATES = BANDS * ROWS
 #: Darts expected in the first plane: k ln k + 2k.
 DARTS = COORDINATES * (np.log(COORDINATES) + 2)
-#: Members of an open bucket that are compared at once.
-BLOCK = 32
+#: Members of an open bucket that meet its others at once, and the others that one task holds.
+BLOCK, PART = 128, 256
 MAX_WORDS = 300_000
 TEXTS_KEPT = 64
 
@@ -322,12 +322,18 @@ def _closed(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFram
 
     ``members`` have met the pivot of their bucket. In each round, of an open bucket, up to
     ``BLOCK`` members outside its largest class meet all its members of other classes, and
-    leave: pairs grow with the rows of open buckets, not with their square.
+    leave. The members are split into parts, to each of which the heads are copied; a part
+    gives at most one link for each head and class, so no pairs are listed.
     """
+    def told():  # columns of their own for each use
+        return texts.select(F.col("doc_id").alias("node"), F.col("text").alias("text"))
+
     while True:
         named = _labelled(members, labels, "node", "label")
-        spans = named.groupBy("band").agg(F.min("label").alias("l0"), F.max("label").alias("l1"))
-        spans = staged(spans.where(F.col("l0") != F.col("l1")).select("band"), "spans")
+        spans = named.groupBy("band").agg(F.min("label").alias("l0"), F.max("label").alias("l1"),
+                                          F.count("*").alias("n"))
+        spans = staged(spans.where(F.col("l0") != F.col("l1")).select(
+            "band", F.expr(f"CAST((n - 1) div {PART} + 1 AS int)").alias("parts")), "spans")
         members = staged(named.join(spans, "band"), "open")
         if members.isEmpty():
             return labels
@@ -336,15 +342,37 @@ def _closed(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFram
         rank = F.row_number().over(Window.partitionBy("band").orderBy("node"))
         heads = members.join(staged(largest, "largest"), "band").where(
             F.col("label") != F.col("most")).withColumn("r", rank).where(F.col("r") <= BLOCK)
-        heads = staged(heads.select("band", F.col("node").alias("head"), F.col("weight").alias(
-            "head_weight"), F.col("label").alias("head_label")), "heads")
-        open_ = (F.col("label") != F.col("head_label")) & fitting("weight", "head_weight")
-        pairs = staged(members.join(heads, "band").where(open_).select(
-            F.least("head", "node").alias("lo"), F.greatest("head", "node").alias("hi")).distinct(),
-            "pairs")
-        labels = merged(labels, checked(pairs, texts))
-        left = heads.select("band", F.col("head").alias("node"))
-        members = members.join(left, ["band", "node"], "left_anti").select("band", "node", "weight")
+        heads = staged(heads.select("band", "node", "weight", "label", "parts"), "heads")
+        rows = members.join(told(), "node").select(
+            "band", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"),
+            "node", "weight", "label", "text")
+        copies = heads.join(told(), "node").select(
+            "band", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+            "node", "weight", "label", "text")
+        links = rows.groupBy("band", "part").cogroup(copies.groupBy("band", "part")).applyInPandas(
+            _meet, "lo long, hi long")
+        labels = merged(labels, staged(links.distinct(), "links"))
+        members = members.join(heads.select("band", "node"), ["band", "node"], "left_anti").select(
+            "band", "node", "weight")
+
+
+def _meet(rows: pd.DataFrame, heads: pd.DataFrame) -> pd.DataFrame:
+    """Links of the heads to members of other classes: the first found for each class."""
+    words, out = Words(), []
+
+    def parsed(df):
+        return [(n, w, c, shingles([t or ""], words)[1:])
+                for n, w, c, t in zip(df.node, df.weight, df.label, df.text)]
+
+    members = parsed(rows) if len(heads) else []
+    for node, weight, label, own in parsed(heads):
+        linked = {label}
+        for other, mass, cls, theirs in members:
+            if cls not in linked and min(weight, mass) >= (SIMILARITY - 1e-9) * max(weight, mass) \
+                    and similarity(own, theirs) >= SIMILARITY:
+                linked.add(cls)
+                out.append((min(node, other), max(node, other)))
+    return pd.DataFrame(out, columns=["lo", "hi"], dtype="int64")
 
 
 def classes(docs: DataFrame) -> DataFrame:
