@@ -109,12 +109,12 @@ class Autoencoder:
     batch: int = 256
     rate: float = 0.001
     holdout: float = 0.1
-    shards: int | None = None
+    shards: int = 8  # part of the model: the weights follow it, and do not follow the cores
     seed: int = 42
 
     def fit(self, df: DataFrame, key: str = "flow_id") -> AutoencoderModel:
         spark = df.sparkSession
-        shards = self.shards or spark.sparkContext.defaultParallelism
+        shards = self.shards
         # Rows are dealt to shards by key hash, so a retry trains on the same rows, and the
         # order within a shard is fixed by the same hash.
         held = F.conv(F.substring("_hash", 1, 6), 16, 10).cast("int") < self.holdout * 2 ** 24

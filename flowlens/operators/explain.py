@@ -171,7 +171,7 @@ def explain_rows(model: BoostedModel, cases: DataFrame, names: list[str], k: int
                  key: str = "flow_id") -> DataFrame:
     """The k largest contributions to the predicted class of each case row."""
     long = long_form(shap_values(model, cases, key), names, key)
-    own = long.join(F.broadcast(cases.select(key, F.col("pred_class").alias("class_name"))),
+    own = long.join(cases.select(key, F.col("pred_class").alias("class_name")),
                     [key, "class_name"])
     w = Window.partitionBy(key).orderBy(F.desc(F.abs("shap")), "feature")
     return own.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k)

@@ -147,6 +147,6 @@ def case_rows(bundle: Bundle, routed: DataFrame, names: list[str], k: int = 12)
     studied = cases(routed).persist()
     rows = explain.explain_rows(bundle.classifier, studied.dropDuplicates(["flow_id"]), names, k)
     about = studied.select("flow_id", "case", "category", "attack_type", "pred_class", "pred_conf")
-    return rows.join(F.broadcast(about), "flow_id").select(
+    return rows.join(about, "flow_id").select(
         "case", "flow_id", "category", "attack_type", "pred_class", "pred_conf", "base_value",
         "place", "feature", "value", "shap")
