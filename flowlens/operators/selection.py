@@ -82,6 +82,7 @@ def standard_presets(service: str, dos: str, r2l: str, zero_day: str) -> list:
     """The six preset rules; ``df`` needs ``is_novel``."""
     novel = F.col("is_novel") == 1
     normal = F.col("category") == "Normal"
+    # The titles are the keys of the records.
     return [
         ("Normal - HTTP Web Traffic", [normal & (F.col("service") == service), normal], None),
         ("DoS - Neptune SYN Flood", [F.col("attack_type") == dos], None),

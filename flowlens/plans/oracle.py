@@ -33,7 +33,7 @@ JOIN part p ON l.l_partkey = p.p_partkey)"""
 
 _TAXONOMY = "taxonomy(attack_type, category) AS (VALUES " + ", ".join(
     f"('{name}', '{category}')" for category, names in ATTACKS_BY_CATEGORY.items()
-    for name in names.split()) + ")"
+    for name in names) + ")"
 
 TYPED = f"""{_TAXONOMY},
 typed AS (

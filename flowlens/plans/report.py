@@ -134,6 +134,7 @@ def report(everything: DataFrame, settings: Settings | None = None) -> dict[str,
 
 def cases(pred: DataFrame) -> DataFrame:
     """Up to three study rows: a caught attack, a missed one, a misleading zero-day one."""
+    # Case titles.
     picks = {"Case A - Correctly Caught DoS": selection.best_hit(pred),
              "Case B - Missed R2L Attack": selection.first_miss(pred),
              "Case C - True Zero-Day Attack": selection.confident_error(pred)}

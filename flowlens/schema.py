@@ -26,12 +26,14 @@ DIFFICULTY_DDL = "difficulty INT"
 
 # Attack names of each class.
 ATTACKS_BY_CATEGORY = {
-    "Normal": "normal",
-    "DoS": "back land neptune pod smurf teardrop mailbomb processtable udpstorm apache2 worm",
-    "Probe": "satan ipsweep nmap portsweep mscan saint",
-    "R2L": "guess_passwd ftp_write imap phf multihop warezmaster warezclient spy xlock xsnoop "
-           "snmpguess snmpgetattack httptunnel sendmail named",
-    "U2R": "buffer_overflow loadmodule rootkit perl sqlattack xterm ps",
+    "Normal": ["normal"],
+    "DoS": ["back", "land", "neptune", "pod", "smurf", "teardrop", "mailbomb", "processtable",
+            "udpstorm", "apache2", "worm"],
+    "Probe": ["satan", "ipsweep", "nmap", "portsweep", "mscan", "saint"],
+    "R2L": ["guess_passwd", "ftp_write", "imap", "phf", "multihop", "warezmaster", "warezclient",
+            "spy", "xlock", "xsnoop", "snmpguess", "snmpgetattack", "httptunnel", "sendmail",
+            "named"],
+    "U2R": ["buffer_overflow", "loadmodule", "rootkit", "perl", "sqlattack", "xterm", "ps"],
 }
 
 # Display order of the classes and the labels written by the router.
@@ -63,7 +65,7 @@ def taxonomy(spark: SparkSession) -> DataFrame:
     """One row per attack name: ``attack_type, category``."""
     rows = [(name, category)
             for category, names in ATTACKS_BY_CATEGORY.items()
-            for name in names.split()]
+            for name in names]
     return spark.createDataFrame(rows, "attack_type string, category string")
 
 
