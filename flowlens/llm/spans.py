@@ -24,6 +24,8 @@ from flowlens.llm.common import mapped, slices, staged, texts_of
 
 SENTENCES, WORDS = 3, 16
 LONG, PART = 20, 12
+#: Names that do not clash with columns of documents.
+GONE, GONE_SPANS = "_spans_gone", "_spans_of_gone"
 
 _END = re.compile(r"[.!?]+\s+|\n\s*")
 _WORD = re.compile(r"\S+\s*")
@@ -117,11 +119,12 @@ def dedup(docs: DataFrame) -> DataFrame:
     share an id are one document. Null ids take no part; null text stays null; a text without
     repeated runs stays as it is, to the character; other columns are left out.
     """
-    return _cleaned(docs.select("doc_id", "text"), repeated(docs))
+    out = _cleaned(docs.select("doc_id", "text"), repeated(docs))
+    return out.withColumnsRenamed({GONE: "n_removed", GONE_SPANS: "removed"})
 
 
 def _cleaned(docs: DataFrame, cuts: DataFrame) -> DataFrame:
-    """All columns of ``docs``, with the new text, and ``n_removed, removed``."""
+    """All columns of ``docs``, with the new text, and what was removed."""
     named = cuts.select(F.col("doc_id").alias("_id"), F.col("cuts").alias("_cuts"))
     rows = docs.join(named, F.col("doc_id") == F.col("_id"), "left").drop("_id")
     names = docs.columns
@@ -141,14 +144,11 @@ def _cleaned(docs: DataFrame, cuts: DataFrame) -> DataFrame:
             columns[text_at] = pa.array(texts, type=columns[text_at].type)
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(n, pa.int64()), pa.array(removed, spans)],
-                names=[*names, "_n_removed", "_removed"])
+                names=[*names, GONE, GONE_SPANS])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema),
-                        "_n_removed long, _removed array<struct<start:bigint,end:bigint>>"])
-    out = rows.mapInArrow(run, schema)
-    clash = {"n_removed", "removed"} & set(names)
-    return out if clash else out.withColumnsRenamed(
-        {"_n_removed": "n_removed", "_removed": "removed"})
+                        f"{GONE} long, {GONE_SPANS} array<struct<start:bigint,end:bigint>>"])
+    return rows.mapInArrow(run, schema)
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
@@ -156,12 +156,9 @@ def keep_first(docs: DataFrame) -> DataFrame:
 
     A document of which nothing but white space remains goes; one that was blank before stays.
     """
-    hidden = docs.withColumnsRenamed({c: f"_{c}" for c in ("n_removed", "removed")
-                                      if c in docs.columns})
-    out = _cleaned(hidden, repeated(docs))
-    out = out.where((F.col("n_removed") == 0) | (F.trim(F.regexp_replace(
-        "text", r"\s+", " ")) != ""))
+    out = _cleaned(docs, repeated(docs))
+    out = out.where((F.col(GONE) == 0) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != ""))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast(
+        out = out.withColumn("n_chars", F.when(F.col(GONE) > 0, F.char_length("text").cast(
             "long")).otherwise(F.col("n_chars")))
-    return out.select(hidden.columns).toDF(*docs.columns)
+    return out.select(docs.columns)
