@@ -223,11 +223,13 @@ def _trainer(k: int, width: int):
         known = (pdf["fold"] != held).to_numpy()
         w = logistic(list(pdf["row"][known]), extra[known], y[known], width)
         if held < 0:
-            return pd.DataFrame({"doc_id": [-1], "p": [0.0], "w": [w]})
+            weights = pd.Series([w.tolist()], dtype=object)
+            return pd.DataFrame({"doc_id": [-1], "p": [0.0], "w": weights})
         out = pdf[~known]
         z = np.array([w[0] + w[1 + np.asarray(r, dtype=int)].sum() for r in out["row"]])
         p = 1 / (1 + np.exp(-np.clip(z + extra[~known] @ w[1 + width:], -30, 30)))
-        return pd.DataFrame({"doc_id": out["doc_id"], "p": p, "w": [None] * len(out)})
+        none = pd.Series([None] * len(out), index=out.index, dtype=object)
+        return pd.DataFrame({"doc_id": out["doc_id"], "p": p, "w": none})
 
     return train
 
