@@ -1,10 +1,19 @@
-"""Substring dedup by sliding spans of sentences.
+"""Substring dedup by sliding spans of sentences and of words.
 
-Every run of at least ``SENTENCES`` consecutive sentences, extended until it holds ``WORDS``
-words, is hashed. Runs are joined globally by hash; the first one, by document id and place,
-stays, and every sentence that any later one covers is removed. Sentences end at a line end or
-after ``.``, ``!`` or ``?`` and white space; one of more than ``LONG`` words counts as several,
-cut every ``PART`` words, so a long passage has several sentences in any case.
+Two kinds of runs are hashed. Every run of at least ``SENTENCES`` consecutive sentences, extended
+until it holds ``WORDS`` words, is one. Sentences end at a line end or after ``.``, ``!`` or ``?``
+and white space; one of more than ``LONG`` words counts as several, cut every ``PART`` words, so
+a long sentence that is repeated as a whole has several parts.
+
+The other kind finds passages that start or end inside a sentence, and those with other line ends:
+every ``STRETCH`` consecutive words from an anchor on. A word is an anchor if the hash of it and
+the next word is the least among any ``NEAR`` words in a row that hold it. Anchors depend on the
+words around them only, wherever a sentence or the text began, so any ``PASSAGE`` words in a row
+hold the same stretch in each copy.
+
+Runs are joined globally by hash; the first one, by document id and place, stays, and every part
+of a text that any later one covers is removed. Parts are sentences, cut where a stretch starts
+or ends.
 
 First places are found by an aggregate that combines before the shuffle, and runs are joined to
 those that occur again, so a very common passage is split by the skew handling of the join.
@@ -15,6 +24,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -24,14 +34,22 @@ from flowlens.llm.common import mapped, slices, staged, texts_of
 
 SENTENCES, WORDS = 3, 16
 LONG, PART = 20, 12
+PASSAGE, NEAR = 50, 20
+STRETCH = PASSAGE - NEAR + 1
 #: Names that do not clash with columns of documents.
 GONE, GONE_SPANS = "_spans_gone", "_spans_of_gone"
 
 _END = re.compile(r"[.!?]+\s+|\n\s*")
 _WORD = re.compile(r"\S+\s*")
+#: Which code points are white space; the last is U+3000.
+_BLANK = np.array([chr(c).isspace() for c in range(0x3002)])
+
+
+def _signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
 
 
-def sentences(text: str) -> list[tuple[int, int, str, int]]:
+def _sentences(text: str) -> list[tuple[int, int, str, int]]:
     """(start, end, words in lower case, their number) of each sentence; together the whole text."""
     out, at = [], 0
     for m in [*_END.finditer(text), None]:
@@ -50,20 +68,71 @@ def sentences(text: str) -> list[tuple[int, int, str, int]]:
     return out
 
 
+def _over(x: np.ndarray, of, n: int) -> np.ndarray:
+    """``of``, minimum or maximum, of any ``n`` values in a row."""
+    k = 1
+    while 2 * k <= n:
+        x = of(x[:-k], x[k:])
+        k *= 2
+    return of(x[:k - n], x[n - k:]) if k < n else x
+
+
+def anchors(words: np.ndarray) -> np.ndarray:
+    """Places of the words, given by their hashes, that are anchors."""
+    if len(words) <= NEAR:
+        return np.empty(0, dtype=np.int64)
+    pair = words[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[1:]
+    pair = (pair ^ (pair >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    least = np.pad(_over(pair, np.minimum, NEAR), NEAR - 1)
+    return np.flatnonzero(_over(least, np.maximum, NEAR) == pair)
+
+
+def stretches(text: str) -> list[tuple[int, int, int]]:
+    """(hash, start, end) of the stretch from each anchor that has ``STRETCH`` words after it."""
+    words = text.lower().split()
+    if len(words) < STRETCH:
+        return []
+    own = {w: xxhash.xxh3_64_intdigest(w) for w in set(words)}
+    hashes = np.array([own[w] for w in words], dtype=np.uint64)
+    found = anchors(hashes)
+    found = found[found + STRETCH <= len(words)]
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    blank = _BLANK[np.minimum(points, len(_BLANK) - 1)]
+    starts = np.flatnonzero(~blank & np.append(True, blank[:-1]))
+    starts = np.append(starts, len(text))
+    return [(_signed(xxhash.xxh3_64_intdigest(hashes[k:k + STRETCH].tobytes(), seed=1)), a, b)
+            for k, a, b in zip(found.tolist(), starts[found].tolist(),
+                               starts[found + STRETCH].tolist())]
+
+
+def _edges(text: str, full: list, words: list) -> list[int]:
+    """Where parts start, and the end of the text."""
+    return sorted({len(text), *(s[0] for s in full), *(x for w in words for x in w[1:])})
+
+
+def sentences(text: str) -> list[tuple[int, int]]:
+    """(start, end) of each part, a sentence or a piece of one; together the whole text."""
+    edges = _edges(text, _sentences(text), stretches(text))
+    return list(zip(edges, edges[1:]))
+
+
 def runs(text: str) -> list[tuple[int, int, int]]:
-    """(hash, first sentence, last sentence) of every run; sentences without words are passed over."""
-    full = [(i, s[2], s[3]) for i, s in enumerate(sentences(text)) if s[3]]
+    """(hash, first part, last part) of every run; sentences without words are passed over."""
+    every, words = _sentences(text), stretches(text)
+    place = {x: k for k, x in enumerate(_edges(text, every, words))}
+    full = [s for s in every if s[3]]
     upto = [0]
-    for _, _, n in full:
-        upto.append(upto[-1] + n)
+    for s in full:
+        upto.append(upto[-1] + s[3])
     out = []
     for k in range(len(full) - SENTENCES + 1):
         last = max(k + SENTENCES, bisect_left(upto, upto[k] + WORDS))
         if last > len(full):
             break
-        told = "\n".join([f[1] for f in full[k:last]])
-        h = xxhash.xxh3_64_intdigest(told)
-        out.append((h - (1 << 64) if h >> 63 else h, full[k][0], full[last - 1][0]))
+        told = "\n".join([f[2] for f in full[k:last]])
+        out.append((_signed(xxhash.xxh3_64_intdigest(told)), place[full[k][0]],
+                    place[full[last - 1][1]] - 1))
+    out.extend((h, place[a], place[b] - 1) for h, a, b in words)
     return out
 
 
@@ -84,11 +153,11 @@ def all_runs(docs: DataFrame) -> DataFrame:
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """``doc_id, cuts``: the runs to remove, (first, last) sentence, of documents that have any."""
+    """``doc_id, cuts``: the runs to remove, (first, last) part, of documents that have any."""
     found = staged(all_runs(docs), "runs")
     first = found.groupBy("h").agg(F.min(F.struct("doc_id", "i")).alias("first"),
-                                   F.max(F.struct("doc_id", "i")).alias("last"))
-    first = staged(first.where(F.col("first") != F.col("last")).select(
+                                   F.count("*").alias("n"))
+    first = staged(first.where("n > 1").select(
         "h", F.col("first.doc_id").alias("d0"), F.col("first.i").alias("i0")), "repeated")
     again = found.join(first, "h").where((F.col("doc_id") != F.col("d0"))
                                          | (F.col("i") != F.col("i0")))
@@ -96,7 +165,7 @@ def repeated(docs: DataFrame) -> DataFrame:
 
 
 def _rest(text: str, cuts: list[dict]) -> tuple[str, int, list[dict]]:
-    """The text without the sentences that a cut covers, their number, and the spans removed."""
+    """The text without the parts that a cut covers, their number, and the spans removed."""
     parts = sentences(text)
     gone = set()
     for cut in cuts:
