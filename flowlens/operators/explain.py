@@ -21,6 +21,8 @@ from flowlens.session import scratch_path
 
 # MLlib turns a boosted margin f into the probability 1 / (1 + exp(-2 f)).
 LOG_ODDS_PER_MARGIN = 2.0
+#: Stands for the features beyond the listed ones; no feature has a name in brackets.
+REST = "(all others)"
 
 
 def node_table(model: BoostedModel, spark) -> DataFrame:
@@ -169,9 +171,18 @@ def shap_direction(long: DataFrame, k: int = 12, skip: str = "Normal") -> DataFr
 
 def explain_rows(model: BoostedModel, cases: DataFrame, names: list[str], k: int = 12,
                  key: str = "flow_id") -> DataFrame:
-    """The k largest contributions to the predicted class of each case row."""
+    """The k largest contributions to the predicted class of each case row, and their rest.
+
+    The row at place k + 1 sums all others, so base value and rows add up to the margin.
+    """
     long = long_form(shap_values(model, cases, key), names, key)
     own = long.join(cases.select(key, F.col("pred_class").alias("class_name")),
                     [key, "class_name"])
     w = Window.partitionBy(key).orderBy(F.desc(F.abs("shap")), "feature")
-    return own.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k)
+    placed = own.withColumn("place", F.least(F.row_number().over(w), F.lit(k + 1)))
+    rest = F.col("place") > k
+    return placed.groupBy(key, "class_name", "base_value", "place").agg(
+        F.first("feature").alias("feature"), F.first("value").alias("value"),
+        F.sum("shap").alias("shap")).withColumns({
+            "feature": F.when(rest, F.lit(REST)).otherwise(F.col("feature")),
+            "value": F.when(~rest, F.col("value"))})
