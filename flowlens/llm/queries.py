@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import ann, bpe, chat, credentials, fingerprint, neardup, packing, sharding, spans, toxicity
+from flowlens.llm import (ann, bpe, chat, credentials, fim, fingerprint, neardup, packing, periodic,
+                          sharding, spans, toxicity)
 from flowlens.llm.common import read
 
 RANKS, TOKENIZER = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
@@ -65,6 +67,37 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.PATTERN)
 
 
+def planted_period(doc_id: int | None, words: list[str]) -> list[str]:
+    """The words, of every tenth id (by hash) with a repeating tail; a null id hashes as ''."""
+    h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+    if h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    unit = words[a:a + p]
+    return words[:a] + (unit * ((n - a) // p + 1))[:n - a]
+
+
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.collapse(read(spark, sf_dir, "documents"), planted_period)
+    line = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(
+        ",", r.start.cast("string"), r.length.cast("string"), r.period.cast("string")),
+        F.lit("\n"))), "")
+    return found.withColumn("best", periodic.strongest(F.col("runs"))).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length",
+        "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(line, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(read(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fim.restored(F.col("output"), F.col("form")), 256)
+                       .alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_sharding": op2_sharding,
@@ -76,6 +109,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_spans": op8_spans,
     "op9_packing": op9_packing,
     "op10_bpe": op10_bpe,
+    "op11_periodic": op11_periodic,
+    "op13_middle": op13_middle,
 }
 
 #: Control strings and their escape, as DuckDB's regular expressions say it.
