@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.llm import (ann, bpe, chat, credentials, fim, fingerprint, neardup, packing, periodic,
-                          sharding, spans, toxicity)
+from flowlens.llm import (ann, bpe, chat, credentials, fim, fingerprint, langid, neardup, packing,
+                          periodic, sharding, spans, toxicity)
 from flowlens.llm.common import read
 
 RANKS, TOKENIZER = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
@@ -90,6 +90,14 @@ def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(line, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2  # null for a null id
+    found = langid.predict(docs, langid.fit(docs, ~held_out))
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"),
+                        "lang_pred", "score")
+
+
 def op13_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fim.transform(read(spark, sf_dir, "documents"))
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
@@ -110,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_bpe": op10_bpe,
     "op11_periodic": op11_periodic,
+    "op12_language": op12_language,
     "op13_middle": op13_middle,
 }
 
