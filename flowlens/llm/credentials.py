@@ -5,13 +5,13 @@ pieces are summed up to code point positions. Strong findings (assignments, acce
 runs) are reported as they are. Weak candidates say little alone: a bare 40-character secret is
 reported only near an access id, and an endpoint only near an access id and a secret.
 Nearness is an interval join inside the document: gap of at most ``SCOPE`` code points. The
-spans of one kind never overlap, so the nearest neighbour on each side, found by one ordered
-window, decides it; pairs are never listed.
+spans of a row are sorted, and one pass from each side carries the nearest complement along;
+pairs are never listed, and no text leaves its row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MARK, STAND_IN = "\u0001", "\u0002"
@@ -24,6 +24,7 @@ WEAK = {"secret": (r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])"
         "endpoint": (r"""https?://[^\s"'<>\x01]+""", 10)}
 KINDS = {**STRONG, **WEAK}
 REDACTED = "[SECRET]"
+SPANS = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
 def _marked(text: Column, kind: str) -> Column:
@@ -31,77 +32,96 @@ def _marked(text: Column, kind: str) -> Column:
     return F.split(F.regexp_replace(text, KINDS[kind][0], f"{MARK}$0{MARK}"), MARK, -1)
 
 
-def _pieces(cut: Column, kind: str) -> Column:
-    """The lengths of the pieces, and which of them are findings; empty if nothing matches."""
+def _hits(cut: Column, kind: str) -> Column:
+    """The findings of one kind: the odd pieces that pass, placed by the lengths before them."""
     pattern, least = KINDS[kind]
 
-    def piece(p, i):
-        told = F.char_length(F.regexp_extract(p, pattern, 2) if kind == "assign" else p) >= least
+    def told(p):
+        ok = F.char_length(F.regexp_extract(p, pattern, 2) if kind == "assign" else p) >= least
         if kind == "secret":
-            told = told & p.rlike("[0-9]") & p.rlike("[a-z]") & p.rlike("[A-Z]")
-        return F.struct(F.lit(list(KINDS).index(kind)).alias("kind"), i.alias("i"),
-                        F.char_length(p).alias("length"), ((i % 2 == 1) & told).alias("hit"))
+            ok = ok & p.rlike("[0-9]") & p.rlike("[a-z]") & p.rlike("[A-Z]")
+        return ok
 
-    return F.when(F.size(cut) > 1, F.transform(cut, piece)).otherwise(
-        F.array().cast("array<struct<kind:int,i:int,length:int,hit:boolean>>"))
+    def step(done, p):
+        end = done.at + F.char_length(p)
+        span = F.struct(done.at.alias("start"), F.lit(list(KINDS).index(kind)).alias("kind"),
+                        end.alias("end"))
+        return F.struct(end.alias("at"), (~done.inside).alias("inside"),
+                        F.when(done.inside & told(p), F.array_append(done.out, span))
+                        .otherwise(done.out).alias("out"))
 
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit(False).alias("inside"),
+                     F.array().cast(SPANS).alias("out"))
+    return F.when(F.size(cut) > 1, F.aggregate(cut, start, step, lambda done: done.out)
+                  ).otherwise(F.array().cast(SPANS))
 
-def spans(docs: DataFrame) -> DataFrame:
-    """Candidate spans ``_row, doc_id, _h, kind, start, end``; each document also has a row of nulls.
 
-    Positions are code points, ``end`` exclusive. ``_row`` tells repeated rows apart; ``_h`` is
-    a hash of the text.
+def _before(spans: Column, is_part, value, pick) -> Column:
+    """For each span, ``pick`` over ``value`` of the parts before it (null if none)."""
+    def step(done, s):
+        known = F.when(is_part(s), pick(F.coalesce(done.at, value(s)), value(s))).otherwise(done.at)
+        return F.struct(known.alias("at"), F.array_append(done.out, done.at).alias("out"))
+
+    start = F.struct(F.lit(None).cast("long").alias("at"),
+                     F.array().cast("array<bigint>").alias("out"))
+    return F.aggregate(spans, start, step, lambda done: done.out)
+
+
+def _near(rows: DataFrame, name: str, is_part) -> DataFrame:
+    """Adds to each of ``_spans`` whether a part lies at most ``SCOPE`` code points away."""
+    rows = rows.withColumns({
+        "_last": _before(F.col("_spans"), is_part, lambda s: s.end, F.greatest),
+        "_next": F.reverse(_before(F.reverse("_spans"), is_part, lambda s: s.start, F.least))})
+
+    def flag(s, i):
+        return s.withField(name, F.coalesce(s.start - F.get("_last", i) <= SCOPE, F.lit(False))
+                           | F.coalesce(F.get("_next", i) - s.end <= SCOPE, F.lit(False)))
+
+    return rows.withColumn("_spans", F.transform("_spans", flag)).drop("_last", "_next")
+
+
+def found(docs: DataFrame, kept: Column) -> DataFrame:
+    """``kept`` and ``findings`` of every row: strong spans, and weak ones near their complements.
+
+    ``findings`` is an array of (start, kind, end, name), sorted; positions are code points,
+    ``end`` exclusive. All is done inside the row, so no text is shuffled.
     """
-    text = F.translate(F.coalesce("text", F.lit("")), MARK, STAND_IN)
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id",
-                       F.xxhash64("text").alias("_h"), text.alias("_t"))
-    rows = rows.withColumns({f"_{kind}": _marked(F.col("_t"), kind) for kind in KINDS})
-    found = F.concat(*[_pieces(F.col(f"_{kind}"), kind) for kind in KINDS],
-                     F.array(F.lit(None)))  # the row of nulls
-    parts = rows.select("_row", "doc_id", "_h", F.explode(found).alias("p")).repartition("_row")
-    upto = Window.partitionBy("_row", "p.kind").orderBy("p.i")
-    ends = parts.select("_row", "doc_id", "_h", "p.*", F.sum("p.length").over(upto).alias("end"))
-    return ends.where(F.col("hit") | F.col("kind").isNull()).select(
-        "_row", "doc_id", "_h", "kind", (F.col("end") - F.col("length")).alias("start"), "end")
-
-
-def linked(candidates: DataFrame) -> DataFrame:
-    """The spans to report: strong ones, and weak ones near what complements them."""
     order = {name: i for i, name in enumerate(KINDS)}
-    kind, start, end = F.col("kind"), F.col("start"), F.col("end")
-    before = Window.partitionBy("_row").orderBy("start", "kind", "end")
-    after = Window.partitionBy("_row").orderBy(F.desc("start"), F.desc("kind"), F.desc("end"))
-
-    def near(rows: DataFrame, name: str, is_part: Column) -> DataFrame:
-        last = F.max(F.when(is_part, end)).over(before.rowsBetween(Window.unboundedPreceding, -1))
-        following = F.min(F.when(is_part, start)).over(
-            after.rowsBetween(Window.unboundedPreceding, -1))
-        return rows.withColumn("_last", last).withColumn("_next", following).withColumn(
-            name, F.coalesce(start - F.col("_last") <= SCOPE, F.lit(False))
-            | F.coalesce(F.col("_next") - end <= SCOPE, F.lit(False))).drop("_last", "_next")
-
-    rows = near(candidates, "_by_access", kind == order["access"])
-    told = (kind == order["secret"]) & F.col("_by_access")
-    rows = near(rows, "_by_secret", told | (kind == order["assign"]))
-    keep = (kind < len(STRONG)) | told | (
-        (kind == order["endpoint"]) & F.col("_by_access") & F.col("_by_secret"))
-    return rows.withColumn("_keep", F.coalesce(keep, F.lit(False)))
+    text = F.translate(F.coalesce("text", F.lit("")), MARK, STAND_IN)
+    rows = docs.select(kept.alias("_kept"), text.alias("_t"))
+    rows = rows.select("_kept", *[_marked(F.col("_t"), kind).alias(f"_{kind}") for kind in KINDS])
+    rows = rows.select("_kept", F.sort_array(F.concat(
+        *[_hits(F.col(f"_{kind}"), kind) for kind in KINDS])).alias("_spans"))
+    rows = _near(rows, "by_access", lambda s: s.kind == order["access"])
+
+    def told(s):
+        return (s.kind == order["secret"]) & s.by_access
+
+    rows = _near(rows, "by_secret", lambda s: told(s) | (s.kind == order["assign"]))
+    keep = F.filter("_spans", lambda s: (s.kind < len(STRONG)) | told(s) | (
+        (s.kind == order["endpoint"]) & s.by_access & s.by_secret))
+    names = F.array(*map(F.lit, KINDS))
+    return rows.select(F.col("_kept").alias("kept"), F.transform(keep, lambda s: F.struct(
+        s.start.alias("start"), s.kind.alias("kind"), s.end.alias("end"),
+        F.element_at(names, s.kind + 1).alias("name"))).alias("findings"))
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """A row for each document: ``doc_id, findings, n_linked`` and the counts of strong kinds.
 
-    ``findings`` is a sorted array of (start, kind, end, name). Null text counts as empty;
-    repeated rows are scanned one by one; no rows give none; other columns are left out.
+    Null text counts as empty; repeated rows are scanned one by one; no rows give none; other
+    columns are left out.
     """
-    rows = linked(spans(docs))
-    name = F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind") + 1)
-    finding = F.when(F.col("_keep"), F.struct("start", "kind", "end", name.alias("name")))
-    counts = {f"n_{k}": F.count_if(F.col("kind") == i) for i, k in enumerate(STRONG)}
-    return rows.groupBy("_row", "doc_id", "_h").agg(
-        F.sort_array(F.collect_list(finding)).alias("findings"),
-        *[c.alias(n) for n, c in counts.items()],
-        F.count_if(F.col("_keep") & (F.col("kind") >= len(STRONG))).alias("n_linked"))
+    def count(test):
+        return F.size(F.filter("findings", test)).cast("long")
+
+    def of(kind):
+        return lambda f: f.kind == kind
+
+    return found(docs, F.col("doc_id")).select(
+        F.col("kept").alias("doc_id"), "findings",
+        *[count(of(i)).alias(f"n_{k}") for i, k in enumerate(STRONG)],
+        count(lambda f: f.kind >= len(STRONG)).alias("n_linked"))
 
 
 def _listed(findings: Column) -> Column:
@@ -131,26 +151,21 @@ def merged(findings: Column) -> Column:
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every reported span replaced by ``[SECRET]``; ``n_chars`` follows the text.
 
-    Rows without findings stay as they are, null texts too. Documents are joined to their
-    findings by id and a hash of the text, so rows that share an id are told apart.
+    Rows without findings stay as they are, null texts too.
     """
-    hits = (scan(docs).where(F.size("findings") > 0)
-            .select(F.col("doc_id").alias("_id"), F.col("_h").alias("_hash"),
-                    F.col("findings").alias("_found"))
-            .dropDuplicates(["_id", "_hash"]))
-    joined = docs.join(hits, F.col("doc_id").eqNullSafe(F.col("_id"))
-                       & (F.xxhash64("text") == F.col("_hash")), "left")
-    rows = joined.withColumn("_m", merged(F.col("_found")))
-
-    def piece(m, i):
-        at = F.when(i > 0, F.get("_m", i - 1).end).otherwise(F.lit(0))
-        return F.concat(F.substr("text", at + 1, m.start - at), F.lit(REDACTED))
-
-    tail = F.substr("text", F.element_at("_m", -1).end + 1)
-    text = F.when(F.size("_m") > 0, F.concat(
-        F.array_join(F.transform("_m", piece), ""), tail)).otherwise(F.col("text"))
-    out = rows.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("_m") > 0, F.char_length("text").cast("long"))
-                             .otherwise(F.col("n_chars")))
-    return out.select(docs.columns)
+    rows = found(docs, F.struct(*docs.columns)).select(
+        "kept", merged(F.col("findings")).alias("cuts"))
+    text, cuts = F.col("kept.text"), F.col("cuts")
+
+    def piece(cut, i):
+        at = F.when(i > 0, F.get(cuts, i - 1).end).otherwise(F.lit(0))
+        return F.concat(F.substr(text, at + 1, cut.start - at), F.lit(REDACTED))
+
+    rest = F.substr(text, F.element_at(cuts, -1).end + 1)
+    clean = F.when(F.size(cuts) > 0, F.concat(
+        F.array_join(F.transform(cuts, piece), ""), rest)).otherwise(text)
+    out = rows.select("kept", "cuts", clean.alias("clean"))
+    counted = F.when(F.size("cuts") > 0, F.char_length("clean").cast("long")
+                     ).otherwise(F.col("kept.n_chars")) if "n_chars" in docs.columns else None
+    new = {"text": F.col("clean"), "n_chars": counted}
+    return out.select(*[new.get(c, F.col(f"kept.`{c}`")).alias(c) for c in docs.columns])
