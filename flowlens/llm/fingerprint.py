@@ -4,9 +4,10 @@ Each run of five words is hashed once. The upper bits of the hash choose one of
 bin keeps its least hash. An empty bin borrows from another by optimal densification: its
 own sequence of hashed attempts, the same in every document, is followed to the first bin that
 is not empty. (After ``ATTEMPTS`` of them the least hash of (bin, candidate) over the filled
-bins decides, which is as uniform and always ends.) The low four bits of every bin are packed
-into hex digits. Two fingerprints agree in a bin by chance with probability 1/16, which the
-likeness takes out again.
+bins decides, which is as uniform and always ends.) Four bits of a hash of the kept value and the
+bin are packed into a hex digit. Equal values thus still agree, and different ones agree by chance in
+1/16 of the bins, in each bin anew even where borrowing fills many bins with one value; the
+likeness takes this share out again.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ from pyspark.sql import functions as F
 WORDS = 5
 BIN_BITS, CODE_BITS, ATTEMPTS = 8, 4, 8
 BINS = 1 << BIN_BITS
-#: Rows of neighbouring ids that are paired with their successors in one group, and the most groups.
-GROUP_ROWS, MAX_GROUPS, FAN = 2_000, 4_096, 64
+#: Rows of neighbouring ids that are paired with their successors in one group. Group bounds are
+#: found in three levels of ``FAN``; beyond ``FAN**3`` groups (524 million rows) groups grow.
+GROUP_ROWS, FAN = 2_000, 64
 LEAST = -(1 << 63)
 
 
@@ -58,7 +60,8 @@ def with_codes(df: DataFrame, text: str, out: str) -> DataFrame:
         return [*tries, rest]
 
     low = F.lit((1 << CODE_BITS) - 1)
-    codes = F.transform("_d", lambda h, b: F.coalesce(h, *borrowed(b)).bitwiseAND(low).cast("int"))
+    codes = F.transform("_d", lambda h, b: F.xxhash64(F.coalesce(h, *borrowed(b)), b)
+                        .bitwiseAND(low).cast("int"))
     return df.withColumn(out, F.when(F.size("_f") > 0, codes).otherwise(
         F.array().cast("array<int>"))).drop("_f", "_d")
 
@@ -84,45 +87,75 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return with_codes(rows, "_t", "_c").select("doc_id", packed(F.col("_c")).alias("fingerprint"))
 
 
+def _longs(values: list[int]) -> Column:
+    return F.array(*map(F.lit, values)).cast("array<bigint>")
+
+
+def _passed(values: Column, key: Column) -> Column:
+    return F.size(F.filter(values, lambda b: b <= key))
+
+
+def group_of(rows: DataFrame, bounds: list[int]) -> DataFrame:
+    """Add ``_g``, the number of sorted ``bounds`` up to ``_k``: blocks first, then inside them."""
+    levels = [bounds]
+    while len(levels[-1]) > FAN:
+        levels.append(levels[-1][FAN - 1::FAN])  # the last bound of each full block
+    rows = rows.withColumn("_g", F.lit(0))
+    for level in reversed(levels):
+        inside = F.slice(_longs(level), F.col("_g") * FAN + 1, FAN)
+        rows = rows.withColumn("_g", F.col("_g") * FAN + _passed(inside, F.col("_k")))
+    return rows
+
+
+def _bounds(ids: DataFrame, groups: int) -> list[int]:
+    """At most ``groups`` approximate quantiles of ``_k`` (all rows), and the least key before them."""
+    if groups < 2:
+        return [LEAST]
+    shares = F.array(*[F.lit(i / groups) for i in range(1, groups)])
+    found = ids.agg(F.percentile_approx("_k", shares, 10 * groups)).first()[0]
+    return sorted({LEAST, *found})
+
+
 def _grouped(docs: DataFrame) -> DataFrame:
     """Rows in groups of neighbouring ids; the first of the next group ends each group as a guest.
 
-    Group bounds are approximate quantiles of the ids, at most ``MAX_GROUPS``, so only they and
-    the first id of each group are ever gathered. Null ids come first.
+    Only group bounds, a count and the first row's id of each group are gathered. Null ids
+    come first. An id of very many rows (or null) starts a group of its own, which is split
+    by ranges of the hash that orders its rows; equal rows of one id stay together.
     """
-    key = F.coalesce("doc_id", F.lit(LEAST))
-    ids = docs.select(key.alias("_k"))
-    n = ids.count()
-    groups = min(MAX_GROUPS, n // GROUP_ROWS + 1)
-    shares = F.array(*[F.lit(i / groups) for i in range(1, groups)]) if groups > 1 else None
-    bounds = sorted(set(ids.agg(F.percentile_approx("_k", shares, 10 * MAX_GROUPS)).first()[0]
-                        if groups > 1 else []))
-    blocks = [bounds[i:i + FAN] for i in range(0, len(bounds), FAN)]
-
-    def longs(values):
-        return F.array(*map(F.lit, values)).cast("array<bigint>")
-
-    block = F.size(F.filter(longs([b[-1] for b in blocks]), lambda b: b <= F.col("_k")))
-    inside = F.slice(longs(bounds), F.col("_g") * FAN + 1, FAN)
-    group = F.col("_g") * FAN + F.size(F.filter(inside, lambda b: b <= F.col("_k")))
-
-    def placed(rows):
-        return rows.withColumn("_g", block).withColumn("_g", group)
-
-    firsts = sorted((r[0], r[1]) for r in
-                    placed(ids).groupBy("_g").agg(F.min("_k")).collect())
+    ids = docs.select(F.coalesce("doc_id", F.lit(LEAST)).alias("_k"))
+    groups = min(FAN ** 3, ids.count() // GROUP_ROWS + 1)
+    bounds = _bounds(ids, groups)
+    sizes = group_of(ids.groupBy("_k").count(), bounds).groupBy("_g").agg(
+        F.min("_k").alias("first"), F.min_by("count", "_k").alias("n")).collect()
     spark = docs.sparkSession
+    split = [(r["_g"], r["first"], r["n"] // GROUP_ROWS + 1) for r in sizes
+             if r["n"] > 2 * GROUP_ROWS]
+    heavy = F.broadcast(spark.createDataFrame(split, "_g int, _first long, _parts long"))
+    tie = F.xxhash64(F.coalesce("text", F.lit(""))) if split else F.lit(0)
+    rows = group_of(docs.select("doc_id", F.coalesce("doc_id", F.lit(LEAST)).alias("_k"),
+                                F.coalesce("text", F.lit("")).alias("_t"), tie.alias("_x")), bounds)
+    if split:
+        part = F.floor((F.col("_x").cast("double") / float(1 << 64) + 0.5) * F.col("_parts"))
+        part = F.least(F.greatest(part, F.lit(0)), F.col("_parts") - 1)
+        rows = rows.join(heavy, "_g", "left").withColumn("_s", F.coalesce(
+            F.when(F.col("_k") == F.col("_first"), part), F.col("_parts"), F.lit(0)).cast("long"))
+    else:
+        rows = rows.withColumn("_s", F.lit(0).cast("long"))
+    firsts = sorted((r["_g"], r["_s"], *r["at"]) for r in rows.groupBy("_g", "_s").agg(
+        F.min(F.struct("_k", "_x")).alias("at")).collect()) if split else \
+        sorted((r["_g"], 0, r["first"], 0) for r in sizes)
     guests = spark.createDataFrame(
-        [(k, firsts[i - 1][0]) for i, (_, k) in enumerate(firsts)], "_k long, _to long")
-    rows = placed(docs.select("doc_id", key.alias("_k"),
-                              F.coalesce("text", F.lit("")).alias("_t")))
-    seats = F.filter(F.array(F.struct(F.col("_g"), F.lit(0).alias("guest")),
-                             F.when(F.col("_to").isNotNull(), F.struct(
-                                 F.col("_to").alias("_g"), F.lit(1).alias("guest")))),
-                     lambda s: s.isNotNull())
-    return (rows.join(F.broadcast(guests), "_k", "left")
+        [(k, x, *firsts[i - 1][:2]) for i, (_, _, k, x) in enumerate(firsts)],
+        "_k long, _x long, _to long, _part long")
+    own = F.struct(F.col("_g").cast("long").alias("_g"), "_s", F.lit(0).alias("guest"))
+    seats = F.filter(F.array(own, F.when(F.col("_to").isNotNull(), F.struct(
+        F.col("_to").alias("_g"), F.col("_part").alias("_s"), F.lit(1).alias("guest")))),
+        lambda s: s.isNotNull())
+    return (rows.withColumn("_x", F.col("_x").cast("long"))
+            .join(F.broadcast(guests), ["_k", "_x"], "left")
             .select("doc_id", "_k", "_t", F.explode(seats).alias("_seat"))
-            .select("doc_id", "_k", "_t", "_seat._g", "_seat.guest",
+            .select("doc_id", "_k", "_t", "_seat._g", "_seat._s", "_seat.guest",
                     F.xxhash64("_t").alias("_tie")))
 
 
@@ -134,7 +167,7 @@ def compare_neighbours(docs: DataFrame) -> DataFrame:
     counts as empty, null ids come first, rows that share an id go by a hash of the text; no
     rows give none. Texts are shuffled once.
     """
-    order = Window.partitionBy("_g").orderBy("guest", "_k", "_tie")
+    order = Window.partitionBy("_g", "_s").orderBy("guest", "_k", "_tie")
     rows = _grouped(docs).withColumn("_n", F.char_length("_t").cast("long"))
     rows = rows.withColumn("_next", F.lead("_t").over(order))
     quarter = F.floor(F.col("_n") / 4)
@@ -142,7 +175,7 @@ def compare_neighbours(docs: DataFrame) -> DataFrame:
         F.substr("_t", F.lit(1), (F.col("_n") - quarter).cast("int")),
         F.substr(F.coalesce("_next", F.lit("")), F.lit(1), quarter.cast("int")))).drop("_next")
     rows = with_codes(with_codes(rows, "_t", "_a"), "_e", "_b")
-    rows = rows.select("doc_id", "_k", "_g", "guest", "_tie", "_n", "_a", "_b",
+    rows = rows.select("doc_id", "_k", "_g", "_s", "guest", "_tie", "_n", "_a", "_b",
                        F.sha2(F.col("_e").cast("binary"), 256).alias("edited_sha256"))
     rows = rows.withColumn("_c", F.lead("_a").over(order)).where(F.col("guest") == 0)
     return rows.select(
