@@ -8,8 +8,9 @@ for every open start position, the tokens decided since the last emitted one and
 the vocabulary trie that the bytes since then have reached. Reading a byte advances all nodes,
 closes the one token that may end here, and emits whatever all hypotheses have in common.
 A hypothesis dies after the longest token at the latest, so the lookahead is bounded. States
-and transitions are built when they are first met and are shared by all pieces; the table is
-dropped when it reaches ``MAX_STATES``, which changes no result.
+and transitions are built when they are met often and are shared by all pieces; the rest is
+read by an automaton over all suffixes of the trie, which is determinised as lazily. The table
+is dropped when it reaches ``MAX_MOVES``, which changes no result.
 
 Decoding. Token bytes are joined chunk by chunk; ``Utf8Machine`` keeps an unfinished sequence
 between chunks, so text leaves as soon as its code points are complete.
@@ -27,8 +28,8 @@ from pyspark.sql import DataFrame
 
 from flowlens.llm.common import mapped, texts_of
 
-#: States kept before the table of the transducer is started anew.
-MAX_STATES = 500_000
+#: Moves kept before the table of the transducer is started anew, and requests that make one.
+MAX_MOVES, ASKED = 500_000, 4
 #: Pieces in a generation whose ids are remembered (two are kept), and the longest such piece in characters.
 MAX_PIECES, MAX_PIECE_CHARS = 400_000, 48
 #: Pairs of tokens whose compatibility is remembered.
@@ -112,64 +113,94 @@ class Merges:
                 j += 1
 
 
+class Node:
+    """A node of the vocabulary trie, which is also an automaton over all suffixes.
+
+    ``kids`` are its children by byte, ``token`` is what ends here (or -1). ``fail`` is the node
+    of its longest proper suffix in the trie, ``ends`` the longest suffix (itself included) that
+    is a token; ``go`` holds the moves of the automaton that were met.
+    """
+
+    __slots__ = ("kids", "token", "depth", "fail", "ends", "go")
+
+    def __init__(self, depth: int = 0):
+        self.kids: dict[int, Node] = {}
+        self.token, self.depth, self.fail, self.ends = -1, depth, None, None
+        self.go: dict[int, Node] = {}
+
+    def move(self, byte: int) -> Node:
+        """The longest suffix in the trie after one more byte."""
+        node = self
+        while byte not in node.kids and node.fail is not None:
+            node = node.fail
+        self.go[byte] = node.kids.get(byte, node)
+        return self.go[byte]
+
+
+class State:
+    """Last emitted token and live hypotheses; ``moves`` gives by byte the next state and output,
+    or how often a move that is not made yet was asked for."""
+
+    __slots__ = ("last", "live", "moves")
+
+    def __init__(self, last: int, live: tuple):
+        self.last, self.live, self.moves = last, live, {}
+
+
 class Transducer:
     """Bytes of one piece in, token ids out."""
 
-    ROOT = 0
-    #: The hypothesis that nothing is pending, and the state part of it alone.
-    FRESH = ((), ROOT)
-    ALONE = (FRESH,)
-
     def __init__(self, ranks: dict[bytes, int]):
         self.merges = Merges(ranks)
-        self.child: dict[int, int] = {}  # by node * 256 + byte
-        self.token = [-1]
-        inner = set()
+        self.root = Node()
+        #: The hypothesis that nothing is pending, alone.
+        self.alone = (((), self.root),)
         for word, rank in ranks.items():
-            node = self.ROOT
+            node = self.root
             for byte in word:
-                inner.add(node)
-                nxt = self.child.get(node << 8 | byte)
+                nxt = node.kids.get(byte)
                 if nxt is None:
-                    nxt = self.child[node << 8 | byte] = len(self.token)
-                    self.token.append(-1)
+                    nxt = node.kids[byte] = Node(node.depth + 1)
                 node = nxt
-            self.token[node] = rank
-        self.goes_on = [node in inner for node in range(len(self.token))]
+            node.token = rank
+        level = [self.root]
+        while level:  # by depth, as each suffix is shorter than its node
+            for node in level:
+                for byte, kid in node.kids.items():
+                    kid.fail = node.fail.move(byte) if node.fail else self.root
+                    kid.ends = kid if kid.token >= 0 else kid.fail.ends
+            level = [kid for node in level for kid in node.kids.values()]
         self._reset()
 
     def _reset(self) -> None:
-        self.ids: dict[tuple, int] = {}
-        self.states: list[tuple] = []
-        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}  # by state * 256 + byte
-        self.start = self._state((-1, self.ALONE))
-
-    def _state(self, key: tuple) -> int:
-        at = self.ids.setdefault(key, len(self.states))
-        if at == len(self.states):
-            self.states.append(key)
-        return at
-
-    def _build(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+        self.states: dict[tuple, State] = {}
+        self.made = 0
+        self.start = self._state((-1, self.alone))
+
+    def _state(self, key: tuple) -> State:
+        state = self.states.get(key)
+        if state is None:
+            state = self.states[key] = State(*key)
+        return state
+
+    def _build(self, state: State, byte: int) -> tuple[State, tuple[int, ...]]:
         """The move from ``state`` on ``byte``: next state and the tokens now certain."""
-        last, live = self.states[state]
-        child, compatible = self.child.get, self.merges.compatible
+        last = state.last
         alive, closed = [], None
-        for pending, node in live:
-            nxt = child(node << 8 | byte)
+        for pending, node in state.live:
+            nxt = node.kids.get(byte)
             if nxt is None:
                 continue
-            token = self.token[nxt]
-            if token >= 0 and closed is None:
+            if closed is None and nxt.token >= 0:
                 before = pending[-1] if pending else last
-                if before < 0 or compatible(before, token):
-                    closed = (*pending, token)
-            if self.goes_on[nxt]:
+                if before < 0 or self.merges.compatible(before, nxt.token):
+                    closed = (*pending, nxt.token)
+            if nxt.kids:
                 alive.append((pending, nxt))
         if closed is None:
             raise ValueError("the vocabulary has no token for some byte")
         if not alive:
-            out, key = closed, (closed[-1], self.ALONE)
+            out, key = closed, (closed[-1], self.alone)
         else:
             shared, oldest = 0, alive[0][0]  # the oldest hypothesis has the least pending
             while shared < len(oldest):
@@ -180,21 +211,62 @@ class Transducer:
             out = closed[:shared]
             if shared:
                 key = (out[-1], (*[(p[shared:], node) for p, node in alive],
-                                 (closed[shared:], self.ROOT)))
+                                 (closed[shared:], self.root)))
             else:
-                key = (last, (*alive, (closed, self.ROOT)))
-        move = self.moves[state << 8 | byte] = (self._state(key), out)
+                key = (last, (*alive, (closed, self.root)))
+        move = state.moves[byte] = (self._state(key), out)
         return move
 
+    def _rest(self, state: State, rest: bytes) -> list[int]:
+        """What is left to emit if the piece goes on with ``rest`` and ends, making no states.
+
+        Each end has one last token: the longest one here that may follow the last token where
+        it starts. ``last`` holds them, from the start of the oldest hypothesis on.
+        """
+        told, live = state.last, state.live
+        node = live[0][1]
+        base = node.depth
+        last, sizes = [-1] * (base + 1), [0] * (base + 1)
+        for pending, start in live:
+            last[base - start.depth] = pending[-1] if pending else told
+        compatible, known = self.merges.compatible, self.merges._pairs
+        for end, byte in enumerate(rest, base + 1):
+            node = node.go.get(byte) or node.move(byte)
+            word = node.ends
+            while word is not None:
+                left = last[end - word.depth]
+                if left < 0 or known.get(left << 32 | word.token) or compatible(left, word.token):
+                    break
+                word = word.fail.ends
+            else:
+                raise ValueError("the vocabulary has no token for some byte")
+            last.append(word.token)
+            sizes.append(word.depth)
+        out, end = [], len(last) - 1
+        while end > base:
+            out.append(last[end])
+            end -= sizes[end]
+        pending = next(p for p, start in live if start.depth == base - end)
+        return [*pending, *reversed(out)]
+
     def encode(self, piece: bytes) -> list[int]:
-        if len(self.states) > MAX_STATES:
+        """A move is made once it was asked for ``ASKED`` times; until then the rest of the piece
+        is read end by end, since most ways of rare pieces are never met again."""
+        if self.made > MAX_MOVES:
             self._reset()
-        state, out, known = self.start, [], self.moves.get
-        for byte in piece:
-            state, told = known(state << 8 | byte) or self._build(state, byte)
+        state, out = self.start, []
+        for i, byte in enumerate(piece):
+            move = state.moves.get(byte, 0)
+            if move.__class__ is int:
+                if move < ASKED:
+                    self.made += not move
+                    state.moves[byte] = move + 1
+                    return out + self._rest(state, piece[i:])
+                move = self._build(state, byte)
+            state, told = move
             if told:
                 out += told
-        out += self.states[state][1][-1][0]
+        out += state.live[-1][0]
         return out
 
 
