@@ -4,27 +4,33 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import cached_property
 
+import numpy as np
+import pandas as pd
 from pyspark import inheritable_thread_target
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassificationModel,
-                                       GBTClassifier, RandomForestClassifier)
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.functions.columns import argmax_index
+from flowlens.operators import boosting
 from flowlens.operators.features import class_index, class_name
 from flowlens.operators.labels import with_weights
+from flowlens.operators.trees import Trees
 from flowlens.session import shared_dir
 
 MAX_BINS = 256
+#: Nodes of an ensemble that may go to the driver and every task.
+MAX_NODES = 4_000_000
 
 
 def training_rows(df: DataFrame, label: str, classes: list[str]) -> DataFrame:
-    """``features, y, weight`` of the rows whose class is listed, balanced by class."""
+    """``flow_id, features, y, weight`` of the rows whose class is listed, balanced by class."""
     known = df.filter(F.col(label).isin(classes))
     weighted = with_weights(known.select("flow_id", label, "features"), label)
-    return weighted.select("features", "weight",
+    return weighted.select("flow_id", "features", "weight",
                            class_index(F.col(label), classes).cast("double").alias("y"))
 
 
@@ -42,23 +48,45 @@ class ClassModel:
 
 @dataclass
 class BoostedModel:
-    """One boosted ensemble per class. Class probabilities are the K sigmoids, normalised."""
+    """Softmax ensemble as a stored node table; two classes share one tree a round.
 
-    models: list[GBTClassificationModel]
+    ``width`` is the number of feature slots.
+    """
+
+    nodes: DataFrame
     classes: list[str]
+    width: int
+
+    @cached_property
+    def trees(self) -> Trees:
+        """The ensemble as flat arrays on the driver; its size is checked before it is fetched."""
+        n = self.nodes.count()
+        if n > MAX_NODES:
+            raise ValueError(f"an ensemble of {n} nodes is too large for one task")
+        return boosting.to_trees(self.nodes.toPandas())
+
+    @cached_property
+    def shared(self):
+        return self.nodes.sparkSession.sparkContext.broadcast(self.trees)
 
     def probabilities(self, df: DataFrame) -> DataFrame:
-        out = df
-        for k, model in enumerate(self.models):
-            out = model.copy().setProbabilityCol(f"_p{k}").setRawPredictionCol("") \
-                       .setPredictionCol("").transform(out)
-        one = [vector_to_array(f"_p{k}")[1] for k in range(len(self.models))]
-        if len(one) == 1:
-            one = [1 - one[0], one[0]]
-        out = out.withColumn("_one", F.array(*one))
-        total = F.aggregate("_one", F.lit(0.0), lambda a, b: a + b)
-        return out.withColumn("_total", total).select(
-            *df.columns, F.transform("_one", lambda p: p / F.col("_total")).alias("probability"))
+        """Row by row, in Arrow batches; ``df`` may be a stream."""
+        shared, n = self.shared, len(self.classes)
+
+        @F.pandas_udf("array<double>")
+        def probability(features: pd.Series) -> pd.Series:
+            if not len(features):
+                return pd.Series([], dtype=object)
+            p = class_probabilities(shared.value.margins(np.stack(features.to_numpy()), n))
+            return pd.Series(list(p))
+
+        return df.withColumn("probability", probability(vector_to_array("features")))
+
+
+def class_probabilities(margins: np.ndarray) -> np.ndarray:
+    """Softmax of the margins of all classes; with two classes the first margin is zero."""
+    p = np.exp(margins - margins.max(axis=1, keepdims=True))
+    return p / p.sum(axis=1, keepdims=True)
 
 
 def predict(model, df: DataFrame) -> DataFrame:
@@ -89,25 +117,11 @@ def random_forest(train: DataFrame, classes: list[str], trees: int = 200, depth:
 
 
 def boosted_trees(train: DataFrame, classes: list[str], rounds: int = 300, depth: int = 8,
-                  rate: float = 0.1, seed: int = 42, parallelism: int = 5) -> BoostedModel:
-    """Gradient-boosted trees, one ensemble per class (a single one for two classes).
-
-    The ensembles are independent, so their jobs are submitted side by side. Node ids and
-    residuals are checkpointed every ten rounds to bound the lineage.
-    """
-    shared_dir(train.sparkSession)
+                  rate: float = 0.1, tasks: int | None = None) -> BoostedModel:
+    """Softmax boosting on histograms (``boosting.fit``) of ``flow_id, features, y, weight``."""
     ordered = sorted(classes)
-    targets = [1] if len(ordered) == 2 else range(len(ordered))
-    est = GBTClassifier(labelCol="is_class", weightCol="weight", maxIter=rounds, maxDepth=depth,
-                        stepSize=rate, maxBins=MAX_BINS, maxMemoryInMB=1024, cacheNodeIds=True,
-                        checkpointInterval=10, seed=seed)
-
-    def fit(k):
-        return est.fit(train.withColumn("is_class", (F.col("y") == k).cast("double")))
-
-    with ThreadPoolExecutor(parallelism) as pool:
-        models = list(pool.map(inheritable_thread_target(train.sparkSession)(fit), targets))
-    return BoostedModel(models, ordered)
+    nodes, width = boosting.fit(train, len(ordered), rounds, depth, rate, tasks=tasks)
+    return BoostedModel(nodes, ordered, width)
 
 
 TRAINERS = {"Decision Tree": decision_tree, "Random Forest": random_forest,
@@ -134,9 +148,13 @@ def compare_models(train: DataFrame, test: DataFrame, tasks: dict[str, tuple[str
         task, name = item
         return TRAINERS[name](rows[task], tasks[task][1], **options.get(name, {}))
 
+    # Boosting needs all cores at once, so it does not share them with other fits.
+    alone = [item for item in missing if TRAINERS[item[1]] is boosted_trees]
+    beside = [item for item in missing if item not in alone]
+    fitted.update((item, fit(item)) for item in alone)
     with ThreadPoolExecutor(parallelism) as pool:
-        found = pool.map(inheritable_thread_target(train.sparkSession)(fit), missing)
-        fitted.update(zip(missing, found))
+        found = pool.map(inheritable_thread_target(train.sparkSession)(fit), beside)
+        fitted.update(zip(beside, found))
     for task, (label, _) in tasks.items():
         rows[task].unpersist()
         for name in TRAINERS:

@@ -3,13 +3,13 @@
 Contributions are in the log-odds of each class. For a leaf whose path tests m distinct
 features, feature i adds value * (o_i - z_i) * sum over subsets S of the other features of
 |S|! (m - |S| - 1)! / m! * prod_{S} o * prod_{not S} z, where o says whether the row passes
-all tests on a feature and z is the share of training weight that does.
+all tests on a feature and z is the share of training weight that does. The factorials are the
+integral of t^|S| (1 - t)^(m - |S| - 1), so the sum is the integral of the polynomial
+prod_{j != i} (o_j t + z_j (1 - t)), which a few Gauss-Legendre points give exactly.
 """
 
 from __future__ import annotations
 
-from math import factorial
-
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
@@ -17,126 +17,124 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlens.operators.classify import BoostedModel
-from flowlens.session import scratch_path
+from flowlens.operators.trees import LEAF, Trees
 
-# MLlib turns a boosted margin f into the probability 1 / (1 + exp(-2 f)).
-LOG_ODDS_PER_MARGIN = 2.0
 #: Stands for the features beyond the listed ones; no feature has a name in brackets.
 REST = "(all others)"
+#: Trees of one class that one task explains for its rows.
+TREES_PER_BLOCK = 100
+
+
+class Paths:
+    """The leaves of one tree, by the distinct features on their paths.
 
+    The tests of a path on one feature come down to an interval, lowest < x <= highest. Unused
+    places of ``feature`` are -1, with a share of one.
+    """
 
-def node_table(model: BoostedModel, spark) -> DataFrame:
-    """All nodes of all ensembles as rows; ``class_idx`` names the explained class."""
-    tables = []
-    targets = range(len(model.models)) if len(model.models) > 1 else [1]
-    for k, ensemble in zip(targets, model.models):
-        path = scratch_path(spark, f"ensemble-{k}")
-        ensemble.save(path)
-        weights = spark.createDataFrame(
-            [(i, float(w)) for i, w in enumerate(ensemble.treeWeights)], "tree int, scale double")
-        n = F.col("nodeData")
-        nodes = spark.read.parquet(f"{path}/data").select(
-            F.col("treeID").alias("tree"), n["id"].alias("node"),
-            n["prediction"].alias("prediction"), n["impurityStats"][0].alias("cover"),
-            n["leftChild"].alias("left"), n["rightChild"].alias("right"),
-            n["split"]["featureIndex"].alias("feature"),
-            n["split"]["leftCategoriesOrThreshold"].alias("test"),
-            n["split"]["numCategories"].alias("categories"))
-        tables.append(nodes.join(F.broadcast(weights), "tree")
-                           .withColumn("class_idx", F.lit(k)))
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
-    return out
-
-
-def leaf_paths(nodes: pd.DataFrame) -> list[tuple[float, list]]:
-    """(value, steps) per leaf; a step is (feature, test, categories, went left, share)."""
-    by_id = {r.node: r for r in nodes.itertuples(index=False)}
-    leaves, todo = [], [(0, [])]
-    while todo:
-        at, steps = todo.pop()
-        node = by_id[at]
-        if node.left < 0:
-            leaves.append((node.prediction * node.scale, steps))
-            continue
-        for child, went_left in ((node.left, True), (node.right, False)):
-            share = by_id[child].cover / node.cover if node.cover else 0.0
-            step = (node.feature, tuple(node.test), node.categories, went_left, share)
-            todo.append((child, [*steps, step]))
-    return leaves
-
-
-def passes(x: np.ndarray, step: tuple) -> np.ndarray:
-    feature, test, categories, went_left, _ = step
-    column = x[:, feature]
-    left = column <= test[0] if categories == -1 else np.isin(column, test)
-    return left if went_left else ~left
-
-
-def subset_weights(ones: np.ndarray, shares: np.ndarray) -> np.ndarray:
-    """The subset sum of each feature, for every row of the 0/1 matrix ``ones``."""
-    n, m = ones.shape
-    kernel = np.array([factorial(k) * factorial(m - k - 1) / factorial(m) for k in range(m)])
-    out = np.empty((n, m))
-    for i in range(m):
-        by_size = np.zeros((n, m))
-        by_size[:, 0] = 1.0
-        for j in (j for j in range(m) if j != i):
-            grown = by_size * shares[j]
-            grown[:, 1:] += by_size[:, :-1] * ones[:, j:j + 1]
-            by_size = grown
-        out[:, i] = by_size @ kernel
-    return out
-
-
-def attributions(x: np.ndarray, leaves: list) -> tuple[float, np.ndarray]:
-    """Base value and the (rows, features) contributions of a list of leaves."""
+    def __init__(self, trees: Trees, tree: int):
+        feature, cover = trees.feature[tree], trees.cover[tree]
+        leaves, todo = [], [(0, {})]
+        while todo:
+            node, steps = todo.pop()
+            f = int(feature[node])
+            if f == LEAF:
+                leaves.append((trees.value[tree, node], steps))
+                continue
+            low, high, share = steps.get(f, (-np.inf, np.inf, 1.0))
+            limit = trees.threshold[tree, node]
+            parts = [cover[child] / cover[node] if cover[node] else 0.0
+                     for child in (2 * node + 1, 2 * node + 2)]
+            todo.append((2 * node + 1, {**steps, f: (low, min(high, limit), share * parts[0])}))
+            todo.append((2 * node + 2, {**steps, f: (max(low, limit), high, share * parts[1])}))
+        width = max(1, max(len(steps) for _, steps in leaves))
+        shape = (len(leaves), width)
+        self.value = np.array([v for v, _ in leaves])
+        self.feature, self.share = np.full(shape, -1), np.ones(shape)
+        self.low, self.high = np.full(shape, -np.inf), np.full(shape, np.inf)
+        for i, (_, steps) in enumerate(leaves):
+            for j, (f, (low, high, share)) in enumerate(steps.items()):
+                self.feature[i, j], self.share[i, j] = f, share
+                self.low[i, j], self.high[i, j] = low, high
+        points, weights = np.polynomial.legendre.leggauss((width + 1) // 2)
+        self.points, self.weights = (points + 1) / 2, weights / 2
+
+    def base(self) -> float:
+        return float(self.value @ self.share.prod(axis=1))
+
+    def gains(self, leaf: np.ndarray, passed: np.ndarray) -> np.ndarray:
+        """Contribution of every place of a path, for pairs of a leaf and the tests passed."""
+        share = self.share[leaf]
+        total = np.zeros(passed.shape)
+        for t, w in zip(self.points, self.weights):
+            factor = np.where(passed, t + share * (1 - t), share * (1 - t))
+            # others' product by prefixes and suffixes, as a share may be zero
+            before = np.cumprod(np.insert(factor[:, :-1], 0, 1, axis=1), axis=1)
+            after = np.cumprod(np.insert(factor[:, :0:-1], 0, 1, axis=1), axis=1)[:, ::-1]
+            total += w * before * after
+        return self.value[leaf][:, None] * (passed - share) * total
+
+    def attributions(self, x: np.ndarray) -> np.ndarray:
+        """(rows, features). Rows that pass the same tests of a leaf share their weights."""
+        n, d = x.shape
+        v = x[:, np.maximum(self.feature, 0)]
+        passed = (v > self.low) & (v <= self.high) | (self.feature < 0)
+        width = self.feature.shape[1]
+        code = passed @ (1 << np.arange(width)) + (np.arange(len(self.value)) << width)
+        pairs, back = np.unique(code, return_inverse=True)
+        bits = (pairs[:, None] >> np.arange(width) & 1).astype(bool)
+        leaf = pairs >> width
+        gain = self.gains(leaf, bits)
+        # places of one pair go to the slots of the row; unused places to a slot of their own
+        slot = np.where(self.feature < 0, d, self.feature)[leaf]
+        back = back.reshape(n, -1)
+        at = (np.arange(n)[:, None, None] * (d + 1) + slot[back]).ravel()
+        return np.bincount(at, gain[back].ravel(), n * (d + 1)).reshape(n, d + 1)[:, :d]
+
+
+def attributions(trees: Trees, which: list[int], x: np.ndarray) -> tuple[float, np.ndarray]:
+    """Base value and the (rows, features) contributions of some trees."""
     base, phi = 0.0, np.zeros(x.shape)
-    for value, steps in leaves:
-        features = sorted({s[0] for s in steps})
-        shares = np.array([np.prod([s[4] for s in steps if s[0] == f]) for f in features])
-        base += value * float(np.prod(shares))
-        if not features or value == 0:
-            continue
-        ones = np.stack([np.logical_and.reduce([passes(x, s) for s in steps if s[0] == f])
-                         for f in features], axis=1)
-        # Rows that pass the same tests share their weights.
-        patterns, back = np.unique(ones, axis=0, return_inverse=True)
-        patterns = patterns.astype(float)
-        gain = value * (patterns - shares) * subset_weights(patterns, shares)
-        phi[:, features] += gain[back.ravel()]
+    for tree in which:
+        paths = Paths(trees, tree)
+        base += paths.base()
+        phi += paths.attributions(x)
     return base, phi
 
 
 def shap_values(model: BoostedModel, df: DataFrame, key: str = "flow_id") -> DataFrame:
     """``key, class_name, base_value, x, shap``: one row per flow and class.
 
-    The node table is bounded by the model, so its leaves are broadcast; rows stay put.
+    Every task explains some rows by one block of trees; Spark adds the blocks of a class. The
+    ensemble is broadcast after its size was checked (``BoostedModel.trees``).
     """
-    spark = df.sparkSession
-    nodes = node_table(model, spark).toPandas()
-    ensembles = {
-        model.classes[k]: [leaf for _, tree in group.groupby("tree") for leaf in leaf_paths(tree)]
-        for k, group in nodes.groupby("class_idx")}
-    shared = spark.sparkContext.broadcast(ensembles)
+    shared, target = model.shared, model.trees.target
+    blocks = [[int(t) for t in own[at:at + TREES_PER_BLOCK]]
+              for own in (np.flatnonzero(target == k) for k in np.unique(target))
+              for at in range(0, len(own), TREES_PER_BLOCK)]
 
     def explain(batches):
         for batch in batches:
-            if len(batch) == 0:
-                continue
-            x = np.stack(batch["x"].to_numpy())
-            for name, leaves in shared.value.items():
-                base, phi = attributions(x, leaves)
-                yield pd.DataFrame({
-                    key: batch[key], "class_name": name,
-                    "base_value": base * LOG_ODDS_PER_MARGIN, "x": list(x),
-                    "shap": list(phi * LOG_ODDS_PER_MARGIN)})
+            for b, rows in batch.groupby("block"):
+                x = np.stack(rows["x"].to_numpy())
+                base, phi = attributions(shared.value, blocks[b], x)
+                yield pd.DataFrame({key: rows[key], "class_idx": int(target[blocks[b][0]]),
+                                    "base": base, "x": rows["x"], "phi": list(phi)})
 
     key_type = dict(df.dtypes)[key]
-    return df.select(key, vector_to_array("features").alias("x")).mapInPandas(
-        explain, f"{key} {key_type}, class_name string, base_value double, "
-                 "x array<double>, shap array<double>")
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    grid = df.select(key, vector_to_array("features").alias("x"),
+                     F.explode(F.sequence(F.lit(0), F.lit(len(blocks) - 1))).alias("block"))
+    parts = grid.repartition(max(cores, len(blocks)), "block", F.pmod(F.hash(key), F.lit(cores))
+                             ).mapInPandas(explain, f"`{key}` {key_type}, class_idx int, "
+                                           "base double, x array<double>, phi array<double>")
+    width = max(model.width, 1)
+    names = F.array(*[F.lit(c) for c in model.classes])
+    total = parts.groupBy(key, "class_idx").agg(
+        F.sum("base").alias("base_value"), F.first("x").alias("x"),
+        F.array(*[F.sum(F.get("phi", F.lit(i))) for i in range(width)]).alias("shap"))
+    return total.select(key, F.element_at(names, F.col("class_idx") + 1).alias("class_name"),
+                        "base_value", "x", "shap")
 
 
 def long_form(shap: DataFrame, names: list[str], key: str = "flow_id") -> DataFrame:
