@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from flowlens.llm.common import mapped, texts_of
 
 #: Moves kept before the table of the transducer is started anew, and requests that make one.
-MAX_MOVES, ASKED = 500_000, 4
+MAX_MOVES, ASKED = 500_000, 16
 #: Pieces in a generation whose ids are remembered (two are kept), and the longest such piece in characters.
 MAX_PIECES, MAX_PIECE_CHARS = 400_000, 48
 #: Pairs of tokens whose compatibility is remembered.
@@ -54,7 +54,6 @@ class Merges:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self._halves: dict[bytes, tuple[bytes, bytes] | None] = {}
         self._edges: tuple[dict, dict] = ({}, {})
-        self._pairs: dict[int, bool] = {}
 
     def halves(self, token: bytes) -> tuple[bytes, bytes] | None:
         """The two tokens whose merge makes ``token``; None for a token that no merge makes."""
@@ -83,13 +82,7 @@ class Merges:
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether merging the bytes of the two tokens gives back just these two."""
-        key = left << 32 | right
-        known = self._pairs.get(key)
-        if known is None:
-            if len(self._pairs) >= MAX_PAIRS:
-                self._pairs.clear()
-            known = self._pairs[key] = self._seam_holds(self.bytes_of[left], self.bytes_of[right])
-        return known
+        return self._seam_holds(self.bytes_of[left], self.bytes_of[right])
 
     def _seam_holds(self, left: bytes, right: bytes) -> bool:
         """Replay both sides of the seam in merge order.
@@ -118,15 +111,17 @@ class Node:
 
     ``kids`` are its children by byte, ``token`` is what ends here (or -1). ``fail`` is the node
     of its longest proper suffix in the trie, ``ends`` the longest suffix (itself included) that
-    is a token; ``go`` holds the moves of the automaton that were met.
+    is a token; ``go`` holds the moves of the automaton that were met, ``after`` whether a token
+    may stand before this one.
     """
 
-    __slots__ = ("kids", "token", "depth", "fail", "ends", "go")
+    __slots__ = ("kids", "token", "depth", "fail", "ends", "go", "after")
 
     def __init__(self, depth: int = 0):
         self.kids: dict[int, Node] = {}
         self.token, self.depth, self.fail, self.ends = -1, depth, None, None
         self.go: dict[int, Node] = {}
+        self.after: dict[int, bool] = {}
 
     def move(self, byte: int) -> Node:
         """The longest suffix in the trie after one more byte."""
@@ -152,7 +147,7 @@ class Transducer:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.merges = Merges(ranks)
-        self.root = Node()
+        self.root, self.pairs = Node(), []
         #: The hypothesis that nothing is pending, alone.
         self.alone = (((), self.root),)
         for word, rank in ranks.items():
@@ -183,6 +178,18 @@ class Transducer:
             state = self.states[key] = State(*key)
         return state
 
+    def _fits(self, left: int, node: Node) -> bool:
+        """Whether the token of ``node`` may follow ``left``; remembered at the node."""
+        known = node.after.get(left)
+        if known is None:
+            if len(self.pairs) >= MAX_PAIRS:
+                for other in self.pairs:
+                    other.after.clear()
+                self.pairs.clear()
+            self.pairs.append(node)
+            known = node.after[left] = self.merges.compatible(left, node.token)
+        return known
+
     def _build(self, state: State, byte: int) -> tuple[State, tuple[int, ...]]:
         """The move from ``state`` on ``byte``: next state and the tokens now certain."""
         last = state.last
@@ -193,7 +200,7 @@ class Transducer:
                 continue
             if closed is None and nxt.token >= 0:
                 before = pending[-1] if pending else last
-                if before < 0 or self.merges.compatible(before, nxt.token):
+                if before < 0 or self._fits(before, nxt):
                     closed = (*pending, nxt.token)
             if nxt.kids:
                 alive.append((pending, nxt))
@@ -226,26 +233,26 @@ class Transducer:
         told, live = state.last, state.live
         node = live[0][1]
         base = node.depth
-        last, sizes = [-1] * (base + 1), [0] * (base + 1)
+        last = [-1] * (base + 1)
         for pending, start in live:
             last[base - start.depth] = pending[-1] if pending else told
-        compatible, known = self.merges.compatible, self.merges._pairs
-        for end, byte in enumerate(rest, base + 1):
+        fits, end = self._fits, base
+        for byte in rest:
+            end += 1
             node = node.go.get(byte) or node.move(byte)
             word = node.ends
             while word is not None:
                 left = last[end - word.depth]
-                if left < 0 or known.get(left << 32 | word.token) or compatible(left, word.token):
+                if left < 0 or word.after.get(left) or fits(left, word):
                     break
                 word = word.fail.ends
             else:
                 raise ValueError("the vocabulary has no token for some byte")
             last.append(word.token)
-            sizes.append(word.depth)
-        out, end = [], len(last) - 1
+        out, bytes_of = [], self.merges.bytes_of
         while end > base:
             out.append(last[end])
-            end -= sizes[end]
+            end -= len(bytes_of[last[end]])
         pending = next(p for p, start in live if start.depth == base - end)
         return [*pending, *reversed(out)]
 
@@ -282,6 +289,10 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer = Transducer(ranks)
+        #: Token bytes by id; ids without a token hold none.
+        self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            self.tokens[rank] = token
         self.pieces = regex.compile(SAME_PATTERN.get(pattern, pattern)).findall
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # the full generation before; what is met again stays
@@ -365,14 +376,14 @@ class Utf8Machine:
         return "".join(out)
 
 
-def decode_bytes(ids: Iterable[int], bytes_of: dict[int, bytes]) -> Iterator[bytes]:
+def decode_bytes(ids: Iterable[int], bytes_of: dict[int, bytes] | list[bytes]) -> Iterator[bytes]:
     """The bytes of the ids, a chunk at a time."""
     ids = ids if isinstance(ids, array | list) else list(ids)
     for at in range(0, len(ids), DECODE_CHUNK):
         yield b"".join(map(bytes_of.__getitem__, ids[at:at + DECODE_CHUNK]))
 
 
-def decode_stream(ids: Iterable[int], bytes_of: dict[int, bytes]) -> Iterator[str]:
+def decode_stream(ids: Iterable[int], bytes_of: dict[int, bytes] | list[bytes]) -> Iterator[str]:
     """Text as it becomes complete."""
     machine = Utf8Machine()
     for raw in decode_bytes(ids, bytes_of):
@@ -427,7 +438,7 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """
     def run(batch):
         enc = encoder(ranks_path, pattern)
-        bytes_of = enc.transducer.merges.bytes_of
+        bytes_of = enc.tokens
         n, ids_sha, text_sha = [], [], []
         for text in texts_of(batch.column(1)):
             packed = enc.packed(text)
