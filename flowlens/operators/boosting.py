@@ -33,8 +33,9 @@ MAX_BINS, EDGE_ROWS, MAX_TASKS = 256, 100_000, 64
 #: Regularisation of leaf values, least curvature of a child, least gain of a split.
 RIDGE, LEAST_COVER, LEAST_GAIN = 1.0, 1.0, 1e-6
 SAVE_EVERY = 25
-#: Slopes are whole multiples of the largest weight over this.
-UNITS = float(1 << 24)
+#: Slopes are whole multiples of the total weight (as a power of two) over this, so that sums of
+#: any rows stay exact; losses, which may be larger, of so many units.
+UNITS, LOSS_UNITS = float(1 << 52), float(1 << 12)
 NODE_SCHEMA = ("round int, class_idx int, node int, feature int, threshold double, value double, "
                "cover double, gain double, loss double")
 
@@ -125,21 +126,21 @@ class Grower:
         ones = bins[:, [j for j, w in enumerate(n_slots) if w == 2]].astype(np.float32) \
             if len(bins) else np.zeros((0, sum(w == 2 for w in n_slots)), np.float32)
         mine = np.concatenate([(ones.T @ ones > 0).ravel().astype(np.float64),
-                               [weight.max(initial=0.0), weight.sum()]])
+                               [weight.sum()]])
         peers.share(mine)
         all_ = np.stack(peers.each(np.float64))
         two = [j for j, w in enumerate(n_slots) if w == 2]
         conflicts = np.zeros((len(n_slots), len(n_slots)), bool)
-        conflicts[np.ix_(two, two)] = all_[:, :-2].any(axis=0).reshape(len(two), len(two))
+        conflicts[np.ix_(two, two)] = all_[:, :-1].any(axis=0).reshape(len(two), len(two))
         self.columns = Columns(n_slots, conflicts)
-        self.unit = float(all_[:, -2].max() or 1.0) / UNITS
+        self.unit = 2.0 ** np.ceil(np.log2(all_[:, -1].sum() or 1.0)) / UNITS
         self.weight, self.bins = weight, self.columns.of(bins)
         self.margins = np.zeros((len(self.targets), len(y)))
         self.pairs = [(k, c) for k in range(len(self.targets)) for c in range(len(self.columns.widths))]
         self.owned = [i for i in range(len(self.pairs)) if i % peers.size == peers.rank]
 
-    def slopes(self) -> tuple[np.ndarray, np.ndarray, int]:
-        """Slope and curvature of every class and row, and the summed loss, in units."""
+    def slopes(self) -> tuple[np.ndarray, np.ndarray, float]:
+        """Slope and curvature of every class and row in units, and the summed loss."""
         if len(self.targets) == 1:
             p = 1 / (1 + np.exp(-self.margins))
             hit = (self.y == 1)[None, :]
@@ -155,7 +156,7 @@ class Grower:
             loss = np.log(total) - z[self.y, np.arange(len(self.y))] if len(self.y) else total
         g = np.rint((p - hit) * self.weight / self.unit)
         h = np.rint(np.maximum(curve, 1e-16) * self.weight / self.unit)
-        return g, h, int(np.rint(loss * self.weight / self.unit).sum())
+        return g, h, float(np.rint(loss * self.weight / (self.unit * LOSS_UNITS)).sum())
 
     def _sums(self, slots: list[np.ndarray], counts: list[int], g, h) -> list[np.ndarray]:
         """Histograms of the rows with a slot, for each (class, column): (slots, 2, width)."""
@@ -231,7 +232,7 @@ class Grower:
         nodes: list[dict[int, tuple]] = [{} for _ in range(n)]  # heap: feature, threshold, g, h, gain
         active: list[list[int]] = [[0] for _ in range(n)]
         sums, tops = self._met(self._sums([x.astype(np.int64) for x in heap], [1] * n, g, h),
-                               [*g.sum(axis=1), *h.sum(axis=1), float(loss)])
+                               [*g.sum(axis=1), *h.sum(axis=1), loss])
         known = [np.array([[tops[k], tops[n + k]]]) for k in range(n)]
         for k in range(n):
             nodes[k][0] = (LEAF, 0.0, tops[k], tops[n + k], 0.0)
@@ -298,7 +299,7 @@ class Grower:
                             "threshold": threshold, "value": value[node],
                             "cover": sh * self.unit, "gain": gain})
             self.margins[k] += value[heap[k]]
-        return out, tops[-1] * self.unit
+        return out, float(tops[-1]) * self.unit * LOSS_UNITS
 
     def replay(self, rows: pd.DataFrame, edges: list[np.ndarray], slots: np.ndarray) -> None:
         """Margins after the saved trees; ``slots`` are the rows' bins by slot."""

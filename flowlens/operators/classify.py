@@ -89,6 +89,26 @@ def class_probabilities(margins: np.ndarray) -> np.ndarray:
     return p / p.sum(axis=1, keepdims=True)
 
 
+def walk_differences(model: BoostedModel, df: DataFrame, rows: int = 256) -> DataFrame:
+    """``n_flows`` and how many of them the bit vectors score unlike a walk node by node."""
+    shared, n = model.shared, len(model.classes)
+
+    def compare(batches):
+        trees = shared.value
+        for batch in batches:
+            differ = 0
+            for at in range(0, len(batch), rows):
+                x = np.stack(batch["x"].to_numpy()[at:at + rows])
+                leaf = trees.value[np.arange(len(trees))[None, :], trees.walk(x)]
+                want = np.stack([leaf[:, trees.target == k].sum(axis=1) for k in range(n)], axis=1)
+                differ += int((np.abs(trees.margins(x, n) - want) > 1e-9).any(axis=1).sum())
+            yield pd.DataFrame({"n": [len(batch)], "d": [differ]})
+
+    parts = df.select(vector_to_array("features").alias("x")).mapInPandas(compare, "n long, d long")
+    return parts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_flows"),
+                     F.coalesce(F.sum("d"), F.lit(0)).alias("n_differ"))
+
+
 def predict(model, df: DataFrame) -> DataFrame:
     """Add ``probability`` (array), ``pred_class`` and ``pred_conf``; first class wins ties."""
     out = model.probabilities(df)

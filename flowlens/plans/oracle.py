@@ -276,6 +276,29 @@ _TRIAGE = f"""SELECT flow_id,
        ELSE '{C.ACTION_SUSPECT}' END AS action
 FROM scored, lim"""
 
+#: Balanced rows of the known classes, the sums of all cuts of the counted columns, and their gains.
+#: At the start every class has probability 1/5: slope 1/5 less the hit, curvature 2 * 1/5 * 4/5.
+CUTS = """known AS (SELECT category, count(*) AS n FROM typed
+                    WHERE split = 'train' AND category <> 'Unknown' GROUP BY category),
+balanced AS (SELECT t.*, (SELECT sum(n) FROM known) / ((SELECT count(*) FROM known)
+                         * CAST(k.n AS double)) AS w
+             FROM typed t JOIN known k USING (category) WHERE split = 'train'),
+cells AS (""" + " UNION ALL ".join(
+    f"SELECT k.category AS class_name, '{c}' AS feature, {i} AS place, {c} AS cut, "
+    "sum((0.2e0 - CASE WHEN b.category = k.category THEN 1 ELSE 0 END) * w) AS g, "
+    f"sum(0.32e0 * w) AS h FROM balanced b CROSS JOIN known k GROUP BY k.category, {c}"
+    for i, c in enumerate(NUMERIC) if c in (
+        "duration", "cnt", "serror_rate", "same_srv_rate")) + """),
+halves AS (SELECT *, sum(g) OVER upto AS lg, sum(h) OVER upto AS lh,
+                  sum(g) OVER whole AS tg, sum(h) OVER whole AS th
+           FROM cells WINDOW upto AS (PARTITION BY class_name, feature ORDER BY cut),
+                             whole AS (PARTITION BY class_name, feature)),
+gains AS (SELECT *, lg * lg / (lh + 1) + (tg - lg) * (tg - lg) / (th - lh + 1)
+                 - tg * tg / (th + 1) AS gain
+          FROM halves WHERE lh >= 1 AND th - lh >= 1),
+roots AS (SELECT *, row_number() OVER (PARTITION BY class_name ORDER BY gain DESC, place, cut)
+                 AS nth FROM gains)"""
+
 _VIEWS = {"flows": [FLOWS], "typed": [FLOWS, TYPED], "scored": [FLOWS, TYPED, SCORED]}
 
 
@@ -462,6 +485,13 @@ def oracle_sql() -> dict[str, str]:
             "SELECT flow_id, CAST(list_position(['DoS', 'Normal', 'Probe', 'R2L', 'U2R'], "
             "category) - 1 AS INT) AS class_idx, category AS decoded FROM typed "
             "WHERE category <> 'Unknown'", "typed"),
+        "boost_first_round": _sql(
+            "SELECT class_name, feature, round(gain, 6) AS gain, round(lh, 6) AS left_cover, "
+            "round(th - lh, 6) AS right_cover, round(-0.1e0 * lg / (lh + 1), 6) AS left_value, "
+            "round(-0.1e0 * (tg - lg) / (th - lh + 1), 6) AS right_value, "
+            "round(ln(5), 6) AS loss FROM roots WHERE nth = 1", "typed", CUTS),
+        "score_agreement": _sql("SELECT count(*) AS n_flows, CAST(0 AS BIGINT) AS n_differ "
+                                "FROM typed WHERE split = 'test'", "typed"),
         "lof_score": "WITH " + LOF + """
 SELECT asked.a_id AS vec_id, any_value(asked.label) AS label,
        round(avg(density.lrd) * (avg(greatest(d, k_distance)) + 1e-10) - 1.5e0, 6) AS lof

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlens.functions import columns as C
-from flowlens.operators import (classify, confusion, detect, explain, features, hybrid, labels,
+from flowlens.operators import (boosting, classify, confusion, detect, explain, features, hybrid, labels,
                                 novelty, ranking, selection)
 from flowlens.operators.lof import LocalOutlierFactor
 from flowlens.plans import report, wide
@@ -542,6 +542,29 @@ def clf_boosted_trees(spark, sf_dir):
     return _predicted(ws.boosted, ws.test)
 
 
+@query
+def boost_first_round(spark, sf_dir):
+    """Root split and both leaf values of every class after one round of depth one."""
+    ws = Workspace.of(spark, sf_dir)
+    nodes, _ = boosting.fit(ws.training_rows, len(CATEGORY_ORDER), rounds=1, depth=1)
+    names = F.array(*map(F.lit, ws.names))
+    side = F.col("node")
+    return nodes.groupBy("class_idx").agg(
+        features.class_name(F.first("class_idx"), CATEGORY_ORDER).alias("class_name"),
+        F.max(F.when(side == 0, F.get(names, F.col("feature")))).alias("feature"),
+        *[F.round(F.max(F.when(side == n, F.col(c))), 6).alias(alias) for n, c, alias in (
+            (0, "gain", "gain"), (1, "cover", "left_cover"), (2, "cover", "right_cover"),
+            (1, "value", "left_value"), (2, "value", "right_value"))],
+        F.round(F.max("loss"), 6).alias("loss")).drop("class_idx")
+
+
+@query
+def score_agreement(spark, sf_dir):
+    """Test flows whose bit-vector scores differ from a walk through the same trees: none."""
+    ws = Workspace.of(spark, sf_dir)
+    return classify.walk_differences(ws.boosted, ws.test)
+
+
 @query
 def predict_proba(spark, sf_dir):
     ws = Workspace.of(spark, sf_dir)
