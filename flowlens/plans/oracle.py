@@ -486,8 +486,8 @@ def oracle_sql() -> dict[str, str]:
             "category) - 1 AS INT) AS class_idx, category AS decoded FROM typed "
             "WHERE category <> 'Unknown'", "typed"),
         "boost_first_round": _sql(
-            "SELECT class_name, feature, round(gain, 6) AS gain, round(lh, 6) AS left_cover, "
-            "round(th - lh, 6) AS right_cover, round(-0.1e0 * lg / (lh + 1), 6) AS left_value, "
+            "SELECT class_name, feature, round(gain, 3) AS gain, round(lh, 3) AS left_cover, "
+            "round(th - lh, 3) AS right_cover, round(-0.1e0 * lg / (lh + 1), 6) AS left_value, "
             "round(-0.1e0 * (tg - lg) / (th - lh + 1), 6) AS right_value, "
             "round(ln(5), 6) AS loss FROM roots WHERE nth = 1", "typed", CUTS),
         "score_agreement": _sql("SELECT count(*) AS n_flows, CAST(0 AS BIGINT) AS n_differ "

@@ -552,9 +552,10 @@ def boost_first_round(spark, sf_dir):
     return nodes.groupBy("class_idx").agg(
         features.class_name(F.first("class_idx"), CATEGORY_ORDER).alias("class_name"),
         F.max(F.when(side == 0, F.get(names, F.col("feature")))).alias("feature"),
-        *[F.round(F.max(F.when(side == n, F.col(c))), 6).alias(alias) for n, c, alias in (
-            (0, "gain", "gain"), (1, "cover", "left_cover"), (2, "cover", "right_cover"),
-            (1, "value", "left_value"), (2, "value", "right_value"))],
+        *[F.round(F.max(F.when(side == n, F.col(c))), places).alias(alias)
+          for n, c, alias, places in (
+              (0, "gain", "gain", 3), (1, "cover", "left_cover", 3), (2, "cover", "right_cover", 3),
+              (1, "value", "left_value", 6), (2, "value", "right_value", 6))],
         F.round(F.max("loss"), 6).alias("loss")).drop("class_idx")
 
 
