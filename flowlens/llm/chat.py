@@ -1,7 +1,7 @@
 """Chat formatting with typed content parts, by DataFrame operations only.
 
-A message has a role and an ordered list of parts. The visitor turns a text part into escaped
-text and every attachment (image, audio, document) into a placeholder, and records the
+A message has a role and an ordered list of parts. The visitor puts neighbouring text parts
+together, turns each into escaped text and every attachment (image, audio, document) into a placeholder, and records the
 reference and the number of tokens that the placeholder stands for. A turn is written as
 
     <|im_start|>ROLE newline BODY<|im_end|> newline
@@ -50,6 +50,20 @@ def expanded_tokens(part: Column) -> Column:
              .otherwise(F.lit(0))).cast("long")
 
 
+def joined_texts(parts: Column) -> Column:
+    """``parts`` with neighbouring text parts put together, so that no control string can form
+    over the border of two of them."""
+    def add(done, p):
+        last = F.try_element_at(done, F.lit(-1))
+        both = F.coalesce((p.kind == "text") & (last.kind == "text"), F.lit(False))
+        whole = last.withField("text", F.concat(F.coalesce(last.text, F.lit("")),
+                                                F.coalesce(p.text, F.lit(""))))
+        return F.when(both, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(whole))
+                      ).otherwise(F.array_append(done, p))
+
+    return F.aggregate(parts, F.array().cast(f"array<{PART}>"), add)
+
+
 def visit(parts: Column) -> tuple[Column, Column]:
     """The body of a message, and its attachments in order."""
     def placeholder(p):
@@ -59,6 +73,7 @@ def visit(parts: Column) -> tuple[Column, Column]:
         return out.otherwise(F.lit(UNKNOWN))
 
     known = F.coalesce(parts, F.array().cast(f"array<{PART}>"))
+    known = F.when(F.size(known) > 1, joined_texts(known)).otherwise(known)
     attachments = F.transform(
         F.filter(known, lambda p: ~F.coalesce(p.kind == "text", F.lit(False))),
         lambda p: F.struct(p.kind.alias("kind"), p.ref.alias("ref"),

@@ -161,11 +161,9 @@ def labelled(docs: DataFrame, labels: DataFrame, categories: dict[str, object])
                 "buckets": [features.of(t) for t in texts_of(batch.column(3))]}
 
     found = mapped(rows, "doc_id long, fold int, y array<int>, buckets array<int>", run)
-    # buckets are hashes in order, so the least two are a small MinHash: of copies that agree in
-    # them one stays, else the chance words of a document copied often would pass for signs
-    least = F.slice("buckets", 1, 2)
-    return staged(found.withColumn("_least", least).dropDuplicates(["y", "_least"])
-                  .drop("_least"), "labelled")
+    # of documents with the same features and labels one stays
+    same = F.xxhash64("y", "buckets")
+    return staged(found.withColumn("_same", same).dropDuplicates(["_same"]).drop("_same"), "labelled")
 
 
 def chosen_columns(sample: DataFrame, n_categories: int) -> dict[int, int]:
