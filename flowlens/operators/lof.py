@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.operators.selection import seeded_sample
+from flowlens.session import stage
 
 BLOCK_ROWS = 512
 
@@ -100,9 +101,13 @@ class LocalOutlierFactor:
         slices = max(1, min(spark.sparkContext.defaultParallelism, n // BLOCK_ROWS))
         found = spark.range(0, n, 1, slices).mapInPandas(
             neighbours, "id long, near array<long>, distance array<double>")
-        # n_max rows of k numbers each: bounded by the sample, not by the data.
-        table = found.toPandas().sort_values("id")
-        near, distance = np.stack(table["near"]), np.stack(table["distance"])
-        reach = distance[:, -1]
-        density = local_density(near, distance, reach)
+        found = stage(found, "neighbours")
+        reach = found.select(F.col("id").alias("other"), F.element_at("distance", -1).alias("reach"))
+        pairs = found.select("id", F.explode(F.arrays_zip("near", "distance")).alias("n")).select(
+            "id", F.col("n.near").alias("other"), "n.distance")
+        density = pairs.join(reach, "other").groupBy("id").agg(
+            (1 / (F.avg(F.greatest("distance", "reach")) + 1e-10)).alias("density"))
+        # two numbers for each of the n_max rows
+        table = density.join(reach.withColumnRenamed("other", "id"), "id").toPandas().sort_values("id")
+        reach, density = table["reach"].to_numpy(), table["density"].to_numpy()
         return LofModel(spark.sparkContext.broadcast((rows, reach, density)), k)
