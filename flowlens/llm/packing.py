@@ -5,10 +5,13 @@ runs on the driver; everything that grows with the documents stays in Spark.
 
 1. ``pieces`` tokenises whole texts in one pass and keeps a short row for each piece.
 2. ``plan`` solves min sum x_c over configurations c (multisets of lengths that fit a sequence)
-   that cover the histogram: multiplicative weights hold a price for each length, knapsack
-   dynamic programming finds the configuration of the highest price, and its use lowers the
-   prices of its lengths. Scaled so that no length is covered twice, the solution is rounded
-   down; what remains goes best fit, longest first, in groups of equal sequences.
+   that cover the histogram: multiplicative weights hold a price for each length. One table of
+   the knapsack dynamic program prices, for every length, the best configuration that holds it;
+   those near the highest price are used, which lowers the prices of their lengths, until every
+   length is covered. Whole copies are taken first; the fractions that remain are walked through
+   in order and give a copy each time their running sum passes a whole number, as long as its
+   pieces are there. The program is solved again for what is left; its last pieces go best fit,
+   longest first, in groups of equal sequences.
 3. ``assign`` ranks the pieces of each length, in salted parts, and hands rank ranges to
    configurations. All pieces of one length are alike to the plan, so no search is left.
 """
@@ -28,10 +31,14 @@ from pyspark.sql import functions as F
 from flowlens.llm.common import mapped, staged, texts_of
 
 CAPACITY = 2048
-#: Steps of the multiplicative weights, and the rate at which coverage lowers a price.
-STEPS, RATE = 300, 0.5
-#: Shares of the solution that the rounding tries.
-SHARES = (1.0, 0.9, 0.7, 0.5)
+#: Most steps of the multiplicative weights, and the rate at which coverage lowers a price.
+STEPS, RATE = 150, 0.1
+#: Configurations this close to the highest price are used in a step; the steps end when the
+#: cover is this close to the lower bound.
+SLACK, GAP = 0.002, 0.002
+#: Times the program is solved for what rounding left, and the share of the pieces below which
+#: best fit ends the plan.
+ROUNDS, LEFT = 8, 0.05
 #: Pieces of one length that are ranked together.
 RANK_ROWS = 5_000
 
@@ -98,33 +105,46 @@ def pieces(docs: DataFrame, tokenizer_path: str, pattern: str, capacity: int = C
     return mapped(docs.select("doc_id", "text"), schema + ", ids array<int>" * with_ids, run)
 
 
-def best_configuration(prices: np.ndarray, capacity: int) -> dict[int, int]:
-    """Lengths, with their numbers, of the highest total price that fit (knapsack by size)."""
+def knapsack(prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """The highest total price within each size, and the last length put in for it (0: none)."""
     value, last = np.zeros(capacity + 1), np.zeros(capacity + 1, dtype=int)
+    lengths = np.flatnonzero(np.isfinite(prices) & (np.arange(len(prices)) > 0))
+    of = prices[lengths]
+    upto = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
     for size in range(1, capacity + 1):
-        total = prices[1:size + 1] + value[size - 1::-1] if size else None
-        k = int(np.argmax(total))
-        if total[k] > value[size - 1]:
-            value[size], last[size] = total[k], k + 1
-        else:
-            value[size] = value[size - 1]
+        value[size] = value[size - 1]
+        if upto[size]:
+            total = of[:upto[size]] + value[size - lengths[:upto[size]]]
+            k = int(np.argmax(total))
+            if total[k] > value[size]:
+                value[size], last[size] = total[k], lengths[k]
+    return value, last
+
+
+def read_off(last: np.ndarray, size: int) -> Counter:
+    """Lengths, with their numbers, of the best configuration within ``size``."""
     found: Counter = Counter()
-    at = capacity
-    while at > 0:
-        if last[at]:
-            found[int(last[at])] += 1
-            at -= last[at]
+    while size > 0:
+        if last[size]:
+            found[int(last[size])] += 1
+            size -= last[size]
         else:
-            at -= 1
-    return dict(found)
+            size -= 1
+    return found
+
+
+def best_configuration(prices: np.ndarray, capacity: int) -> dict[int, int]:
+    """Lengths, with their numbers, of the highest total price that fit (knapsack by size)."""
+    return dict(read_off(knapsack(prices, capacity)[1], capacity))
 
 
 def fractional(histogram: dict[int, int], capacity: int, steps: int = STEPS,
                rate: float = RATE) -> tuple[dict[tuple, float], float]:
     """A solution of the program by multiplicative weights, and a lower bound on its optimum.
 
-    Each step uses the configuration of the highest price until one of its lengths is covered
-    once more; a price falls with the exponential of its length's coverage.
+    Each step uses the configurations of nearly the highest price, one for each length at most,
+    until one of the lengths is covered once more; a price falls with the exponential of its
+    length's coverage. It ends after ``steps``, or when all is covered at ``GAP`` above the bound.
     """
     need = np.zeros(capacity + 1)
     for length, n in histogram.items():
@@ -132,17 +152,34 @@ def fractional(histogram: dict[int, int], capacity: int, steps: int = STEPS,
     volume = np.arange(capacity + 1) / capacity
     covered, used, bound = np.zeros(capacity + 1), Counter(), float((need * volume).sum())
     present = np.flatnonzero(need)
+    total = 0.0
     for _ in range(steps):
-        prices = np.where(need > 0, volume * np.exp(-rate * covered), -np.inf)
-        found = best_configuration(prices, capacity)
-        if not found:
+        level = covered - (covered[present].min() if len(present) else 0.0)
+        prices = np.where(need > 0, volume * np.exp(-rate * level), -np.inf)
+        value, last = knapsack(prices, capacity)
+        worth = value[capacity]
+        if not worth > 0:
             break
-        worth = sum(prices[k] * n for k, n in found.items())
         bound = max(bound, float(prices[present] @ need[present]) / worth)
-        step = min(need[k] / n for k, n in found.items())
-        used[tuple(sorted(found.items(), reverse=True))] += step
-        for k, n in found.items():
-            covered[k] += step * n / need[k]
+        near = present[prices[present] + value[capacity - present] >= (1 - SLACK) * worth]
+        batch = {}
+        for k in near.tolist():
+            found = read_off(last, capacity - k)
+            found[k] += 1
+            batch[tuple(sorted(found.items(), reverse=True))] = min(
+                need[i] / n for i, n in found.items())
+        more = np.zeros(capacity + 1)
+        for c, step in batch.items():
+            for k, n in c:
+                more[k] += step * n / need[k]
+        scale = 1 / more.max()
+        for c, step in batch.items():
+            used[c] += step * scale
+            total += step * scale
+        covered += more * scale
+        least = covered[present].min()
+        if least > 0 and total / least <= (1 + GAP) * bound:
+            break
     scaled = {c: x / max(1.0, max(covered[k] for k, _ in c)) for c, x in used.items()}
     return scaled, bound
 
@@ -151,30 +188,47 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY,
          steps: int = STEPS) -> list[tuple[int, list[int]]]:
     """(number of sequences, lengths in each), which together use every piece exactly once.
 
-    The program leaves odd pieces that fill gaps badly among themselves, so the rounding takes
-    each of several shares of the solution and the plan of the fewest sequences is used.
+    Never more sequences than best fit alone: should rounding ever cost one, earlier rounds of
+    the program end the plan, and at last none.
     """
     rest = {k: n for k, n in histogram.items() if n}
     full = rest.pop(capacity, 0)
     out = [(full, [capacity])] if full else []
     if not rest:
         return out
-    solution, _ = fractional(rest, capacity, steps)
-    plans = [rounded(solution, rest, share, capacity) for share in SHARES]
-    return out + min(plans, key=lambda p: sum(n for n, _ in p))
-
-
-def rounded(solution: dict[tuple, float], histogram: dict[int, int], share: float,
-            capacity: int) -> list[tuple[int, list[int]]]:
-    """A share of the solution, rounded down; what remains goes best fit."""
-    rest, out = dict(histogram), []
-    for configuration, x in sorted(solution.items(), key=lambda e: -e[1]):
-        copies = min([int(x * share), *(rest[k] // n for k, n in configuration)])
-        if copies:
-            out.append((copies, [k for k, n in configuration for _ in range(n)]))
-            for k, n in configuration:
+    placed, plans = [], [best_fit(rest, capacity)]
+    enough = LEFT * sum(rest.values())
+    for _ in range(ROUNDS):
+        taken = rounded(fractional(rest, capacity, steps)[0], rest)
+        if not taken:
+            break
+        for copies, lengths in taken:
+            for k, n in Counter(lengths).items():
                 rest[k] -= copies * n
-    return out + best_fit(rest, capacity)
+        rest = {k: n for k, n in rest.items() if n}
+        placed = placed + taken
+        plans.append(placed + best_fit(rest, capacity))
+        if sum(rest.values()) <= enough:
+            break
+    return out + min(reversed(plans), key=lambda p: sum(n for n, _ in p))
+
+
+def rounded(solution: dict[tuple, float], histogram: dict[int, int]) -> list[tuple[int, list[int]]]:
+    """Whole copies of configurations, of which the histogram holds every piece."""
+    rest, out, run = dict(histogram), [], 0.0
+    order = sorted(solution.items(), key=lambda e: -e[1])
+    for whole in (True, False):
+        for configuration, x in order:
+            if whole:
+                copies = int(x)
+            else:
+                copies, run = int(run + x % 1), (run + x % 1) % 1
+            copies = min([copies, *(rest[k] // n for k, n in configuration)])
+            if copies:
+                out.append((copies, [k for k, n in configuration for _ in range(n)]))
+                for k, n in configuration:
+                    rest[k] -= copies * n
+    return out
 
 
 def best_fit(rest: dict[int, int], capacity: int) -> list[tuple[int, list[int]]]:
