@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -9,8 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flowlens.session import scratch_path
 
-#: Rows of one Arrow batch that are turned into Python objects at a time.
-SLICE_ROWS = 512
+#: Rows and bytes of one Arrow batch that are turned into Python objects at a time; a row of
+#: more bytes goes alone.
+SLICE_ROWS, SLICE_BYTES = 512, 1 << 21
+#: Bytes of one Arrow batch between the JVM and Python.
+BATCH_BYTES = 4 << 20
+_BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,8 +32,42 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, which bounds the Python objects alive at once."""
     for batch in batches:
-        for at in range(0, batch.num_rows, SLICE_ROWS):
-            yield batch.slice(at, SLICE_ROWS)
+        todo = [(at, min(SLICE_ROWS, batch.num_rows - at))
+                for at in range(0, batch.num_rows, SLICE_ROWS)][::-1]
+        while todo:
+            at, n = todo.pop()
+            part = batch.slice(at, n)
+            if n > 1 and part.nbytes > SLICE_BYTES:
+                todo += [(at + n // 2, n - n // 2), (at, n // 2)]
+            else:
+                yield part
+
+
+def trim() -> None:
+    """Give freed memory of this Python worker back, which the next stage's tasks share."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # a C library without it keeps what it freed
+        pass
+
+
+def in_batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow`` over batches of bounded bytes; workers give back what they freed.
+
+    A session that sets a bound of its own keeps it.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_KEY) == _BATCH_DEFAULT:
+        conf.set(_BATCH_KEY, str(BATCH_BYTES))
+
+    def bounded(batches):
+        try:
+            yield from run(slices(batches))
+        finally:
+            trim()
+
+    return df.mapInArrow(bounded, schema)
 
 
 def texts_of(column: pa.Array) -> list[str]:
@@ -44,10 +83,10 @@ def mapped(df: DataFrame, schema: str, per_slice: Callable[[pa.RecordBatch], dic
     out = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
-        for batch in slices(batches):
+        for batch in batches:
             columns = per_slice(batch)
             yield pa.RecordBatch.from_arrays(
                 [x if isinstance(x, pa.Array) else pa.array(x, type=f.type)
                  for f, x in ((f, columns[f.name]) for f in out)], schema=out)
 
-    return df.mapInArrow(run, schema)
+    return in_batches(df, run, schema)

@@ -32,7 +32,7 @@ COORDINATES = BANDS * ROWS
 DARTS = COORDINATES * (np.log(COORDINATES) + 2)
 #: Members of an open bucket that meet its others at once, and the others that one task holds.
 BLOCK, PART = 128, 256
-MAX_WORDS = 300_000
+MAX_WORDS = 100_000
 TEXTS_KEPT = 64
 
 _U = np.uint64

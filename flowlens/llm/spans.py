@@ -22,7 +22,9 @@ those that occur again, so a very common passage is split by the skew handling o
 from __future__ import annotations
 
 import re
+from array import array
 from bisect import bisect_left
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import mapped, slices, staged, texts_of
+from flowlens.llm.common import in_batches, mapped, staged, texts_of
 
 SENTENCES, WORDS = 3, 16
 LONG, PART = 20, 12
@@ -139,14 +141,16 @@ def runs(text: str) -> list[tuple[int, int, int]]:
 def all_runs(docs: DataFrame) -> DataFrame:
     """``h, doc_id, i, j`` of every run of every whole text; null ids are left out."""
     def per_slice(batch):
-        out: dict[str, list] = {"h": [], "doc_id": [], "i": [], "j": []}
+        h, doc_id, i, j = array("q"), array("q"), array("i"), array("i")
         for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
-            for h, i, j in runs(text):
-                out["h"].append(h)
-                out["doc_id"].append(doc)
-                out["i"].append(i)
-                out["j"].append(j)
-        return out
+            found = runs(text)
+            doc_id.extend(repeat(doc, len(found)))
+            for run in found:
+                h.append(run[0])
+                i.append(run[1])
+                j.append(run[2])
+        return {"h": np.frombuffer(h, np.int64), "doc_id": np.frombuffer(doc_id, np.int64),
+                "i": np.frombuffer(i, np.int32), "j": np.frombuffer(j, np.int32)}
 
     rows = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     return mapped(rows, "h long, doc_id long, i int, j int", per_slice)
@@ -201,7 +205,7 @@ def _cleaned(docs: DataFrame, cuts: DataFrame) -> DataFrame:
     spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
-        for batch in slices(batches):
+        for batch in batches:
             texts, n, removed = [], [], []
             for text, cut in zip(batch.column(text_at).to_pylist(),
                                  batch.column(cuts_at).to_pylist()):
@@ -217,7 +221,7 @@ def _cleaned(docs: DataFrame, cuts: DataFrame) -> DataFrame:
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema),
                         f"{GONE} long, {GONE_SPANS} array<struct<start:bigint,end:bigint>>"])
-    return rows.mapInArrow(run, schema)
+    return in_batches(rows, run, schema)
 
 
 def keep_first(docs: DataFrame) -> DataFrame:

@@ -16,12 +16,11 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import mapped, staged, texts_of
+from flowlens.llm.common import in_batches, mapped, staged, texts_of, trim
 
 #: Labelled documents used for fitting, folds, and hash buckets of the features.
 SAMPLE, FOLDS, BUCKETS = 30_000, 5, 1 << 20
@@ -34,7 +33,9 @@ BEGINNINGS = (4, 5, 6)
 #: Weight of the squared coefficients against the summed loss, and steps of a fit.
 RIDGE, STEPS = 0.05, 60
 THRESHOLD = 0.5
-MAX_WORDS = 300_000
+MAX_WORDS = 100_000
+#: Rows of a fit whose columns are widened at a time.
+BLOCK = 2_048
 EDGES = ".,;:!?\"'()[]{}<>*#%&-_/\\|«»„“”‘’…"
 
 
@@ -91,26 +92,45 @@ class Chain:
 
 
 def logistic(rows: list, extra: np.ndarray, y: np.ndarray, width: int) -> np.ndarray:
+    """``logistic_flat`` of rows given as a list of lists of columns."""
+    sizes = np.array([len(r) for r in rows], dtype=np.int64)
+    columns = np.concatenate([np.asarray(r, dtype=np.int64) for r in rows]) if sizes.sum() else \
+        np.zeros(0, np.int64)
+    return logistic_flat(columns, sizes, extra, y, width)
+
+
+def logistic_flat(columns: np.ndarray, sizes: np.ndarray, extra: np.ndarray, y: np.ndarray,
+                  width: int) -> np.ndarray:
     """Bias, weights of ``width`` present-or-not columns, weights of the columns of ``extra``.
 
-    L-BFGS on the log loss with a ridge on all but the bias. Of one class only, the bias says
-    its smoothed share and nothing else counts.
+    Row after row, ``columns`` lists the present ones and ``sizes`` their number. L-BFGS on the
+    log loss with a ridge on all but the bias. Of one class only, the bias says its smoothed
+    share and nothing else counts.
     """
+    n = len(y)
     w = np.zeros(1 + width + extra.shape[1])
-    if not len(y) or y.min() == y.max():
-        share = (y.sum() + 0.5) / (len(y) + 1)
-        w[0] = np.log(share / (1 - share)) - (3 if share < 0.5 or not len(y) else -3)
+    if not n or y.min() == y.max():
+        share = (y.sum() + 0.5) / (n + 1)
+        w[0] = np.log(share / (1 - share)) - (3 if share < 0.5 or not n else -3)
         return w
-    sizes = np.array([len(r) for r in rows])
-    flat = np.concatenate([np.asarray(r, dtype=np.int64) for r in rows]) if sizes.sum() else \
-        np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(len(rows)), sizes)
+    ends = np.append(0, np.cumsum(sizes))
+    blocks = [(at, min(n, at + BLOCK)) for at in range(0, n, BLOCK)]
+
+    def part(a, b):
+        """The columns of some rows, and the row of each."""
+        return columns[ends[a]:ends[b]].astype(np.int64), np.repeat(np.arange(b - a), sizes[a:b])
 
     def loss(w):
-        z = w[0] + extra @ w[1 + width:] + np.bincount(owner, w[1 + flat], len(rows))
+        z = w[0] + extra @ w[1 + width:]
+        for a, b in blocks:
+            at, owner = part(a, b)
+            z[a:b] += np.bincount(owner, w[1 + at], b - a)
         value = np.logaddexp(0, z).sum() - z[y > 0].sum() + RIDGE / 2 * (w[1:] ** 2).sum()
         off = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
-        slope = np.concatenate([[off.sum()], np.bincount(flat, off[owner], width), extra.T @ off])
+        slope = np.concatenate([[off.sum()], np.zeros(width), extra.T @ off])
+        for a, b in blocks:
+            at, owner = part(a, b)
+            slope[1:1 + width] += np.bincount(at, off[a:b][owner], width)
         slope[1:] += RIDGE * w[1:]
         return value, slope
 
@@ -171,8 +191,8 @@ def chosen_columns(sample: DataFrame, n_categories: int) -> dict[int, int]:
     def count(batches):
         total = np.zeros((n_categories + 1, BUCKETS), dtype=np.int32)
         for batch in batches:
-            for y, buckets in zip(batch.column("y").to_pylist(),
-                                  batch.column("buckets").to_pylist()):
+            for y, buckets in zip(batch.column("y").to_pylist(), batch.column("buckets")):
+                buckets = buckets.values.to_numpy()
                 total[0, buckets] += 1
                 for k, v in enumerate(y):
                     if v:
@@ -182,7 +202,7 @@ def chosen_columns(sample: DataFrame, n_categories: int) -> dict[int, int]:
             [pa.array(at), pa.array(total[:, at].T.tolist(), type=pa.list_(pa.int64()))],
             names=["bucket", "n"])
 
-    seen = sample.select("y", "buckets").mapInArrow(count, "bucket long, n array<long>")
+    seen = in_batches(sample.select("y", "buckets"), count, "bucket long, n array<long>")
     seen = seen.groupBy("bucket").agg(
         *[F.sum(F.get("n", F.lit(k))).alias(f"n{k}") for k in range(n_categories + 1)]
     ).where(F.col("n0") >= LEAST_DOCS)
@@ -213,25 +233,40 @@ def chosen_columns(sample: DataFrame, n_categories: int) -> dict[int, int]:
 
 def _trainer(k: int, width: int):
     """Fits category ``k`` without the fold ``turn`` and scores that fold; -1 holds out none."""
-    def train(pdf: pd.DataFrame) -> pd.DataFrame:
-        held = int(pdf["turn"].iloc[0])
-        pdf = pdf.sort_values("doc_id")
-        extra = np.array(pdf["earlier"].to_list(), dtype=float).reshape(len(pdf), k)
-        y = np.array([v[k] for v in pdf["y"]], dtype=float)
-        known = (pdf["fold"] != held).to_numpy()
-        w = logistic(list(pdf["row"][known]), extra[known], y[known], width)
+    def train(turn: tuple, table: pa.Table) -> pa.Table:
+        held = turn[0].as_py()
+        table = table.combine_chunks().sort_by("doc_id")
+        fold = table["fold"].to_numpy()
+        extra = _flat(table["earlier"])[0].astype(float).reshape(len(fold), k)
+        y = _flat(table["y"])[0].reshape(len(fold), -1)[:, k].astype(float)
+        columns, sizes = _flat(table["row"])
+        docs = table["doc_id"]
+        del table
+        known = fold != held
+        inside = np.repeat(known, sizes)
+        w = logistic_flat(columns[inside], sizes[known], extra[known], y[known], width)
         if held < 0:
-            weights = pd.Series([w.tolist()], dtype=object)
-            return pd.DataFrame({"doc_id": [-1], "p": [0.0], "w": weights})
-        out = pdf[~known]
-        z = np.array([w[0] + w[1 + np.asarray(r, dtype=int)].sum() for r in out["row"]])
-        p = 1 / (1 + np.exp(-np.clip(z + extra[~known] @ w[1 + width:], -30, 30)))
-        none = pd.Series([None] * len(out), index=out.index, dtype=object)
-        return pd.DataFrame({"doc_id": out["doc_id"], "p": p, "w": none})
+            out = [[-1], [0.0], [w.tolist()]]
+        else:
+            owner = np.repeat(np.arange(int((~known).sum())), sizes[~known])
+            z = w[0] + np.bincount(owner, w[1 + columns[~inside]], int((~known).sum()))
+            p = 1 / (1 + np.exp(-np.clip(z + extra[~known] @ w[1 + width:], -30, 30)))
+            out = [docs.filter(pa.array(~known)), p, [None] * len(p)]
+        trim()
+        return pa.table([pa.chunked_array([x], t) if isinstance(x, list) else x for x, t in
+                         zip(out, (pa.int64(), pa.float64(), pa.list_(pa.float64())))],
+                        names=["doc_id", "p", "w"])
 
     return train
 
 
+def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a column of lists in one array, and the size of each list."""
+    lists = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+    return (lists.flatten().to_numpy(zero_copy_only=False),
+            np.diff(lists.offsets.to_numpy()).astype(np.int64))
+
+
 def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, object]) -> Chain:
     """Fit the chain. ``categories`` maps names to 0/1 columns of ``labels``, in chain order."""
     sample = labelled(docs, labels, categories)
@@ -253,7 +288,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, object]) -> Ch
 
         # every group is the bounded sample
         fitted = (rows.withColumn("turn", F.explode(F.array(*map(F.lit, turns))))
-                  .groupBy("turn").applyInPandas(_trainer(k, width), "doc_id long, p double, w array<double>"))
+                  .groupBy("turn").applyInArrow(_trainer(k, width), "doc_id long, p double, w array<double>"))
         fitted = staged(fitted, "fitted")
         got = fitted.where(F.col("w").isNotNull()).select("w").first()
         models.append(np.array(got["w"]) if got else
@@ -311,4 +346,4 @@ def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
             p = chain.probabilities([features.of(t) for t in texts_of(batch.column(text_at))])
             yield batch.filter(pa.array(p[:, -1] < THRESHOLD))
 
-    return docs.mapInArrow(run, schema)
+    return in_batches(docs, run, schema)
