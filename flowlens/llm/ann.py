@@ -1,12 +1,15 @@
-"""Approximate nearest neighbours by balanced posting lists.
+"""Nearest neighbours by balanced posting lists, checked by bounds.
 
 Centroids are fitted to a bounded sample, with a price on crowded ones so that lists come out
 even. Every row goes to its nearest centroid, and a row near a border also to other centroids
 that are hardly farther.
-Centroids are found by a beam search over a neighbour graph held in memory, whose size is
-bounded by ``MAX_LISTS``. A query reads the lists whose centroids are within a ratio of the
-nearest one's distance; the ratio is calibrated on the sample. Short lists share a group, long
-ones and large groups of queries are split, so a very common vector is spread over many tasks.
+A query is answered in two rounds. The first finds centroids by a beam search over a neighbour
+graph held in memory, whose size is bounded by ``MAX_LISTS``, and reads the lists of the nearest
+ones. The score of rank ``k`` there is a floor for the true one, so the second round reads every
+other list whose rows could reach it, by the list's greatest distance, angle and length. Nothing
+depends on how well lists or beam fit the table but the share of it that is read. Short lists
+share a group, long ones and large groups of queries are split, so a very common vector is spread
+over many tasks.
 
 Largest inner product becomes least distance by one more component that gives every row
 the same length.
@@ -28,11 +31,15 @@ SAMPLE, LIST_ROWS, MAX_LISTS = 16_384, 200, 2_048
 ROUNDS, PRICE = 12, 0.15
 #: Copies of a row at most, and how much farther than the nearest a copy's centroid may be.
 COPIES, COPY_RATIO = 4, 1.005
-#: Share of true neighbours to meet, queries that calibrate it, and rows a query reads at least.
-TARGET, CALIBRATION, READ_ROWS = 0.95, 256, 400
+#: Rows the first round reads at least, and the width of its beam.
+READ_ROWS, WIDTH = 400, 64
 #: Neighbours in the graph, and rows and queries that meet in one group.
 DEGREE, GROUP_ROWS, GROUP_QUERIES = 16, 8_192, 4_096
 NEAREST = 20
+#: Rows whose distances to all centroids are held at a time, and scores held at a time.
+BLOCK_ROWS, BLOCK_SCORES = 1_024, 1 << 18
+#: Slack of the bounds for rounding, as a share of the lengths, and of an angle.
+SLACK, ANGLE_SLACK = 1e-9, 1e-7
 
 
 @dataclass
@@ -43,8 +50,6 @@ class Index:
     graph: np.ndarray | None = None
     entries: np.ndarray | None = None
     longest: float = 0.0
-    ratio: float = 1.0
-    width: int = 1
 
     def lifted(self, x: np.ndarray) -> np.ndarray:
         rest = np.sqrt(np.maximum(self.longest - (x * x).sum(1), 0))
@@ -85,74 +90,100 @@ class Index:
         return ids, np.maximum(dist, 0)
 
     def homes(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, list) pairs: the nearest list and, for a row near a border, the others there."""
-        ids, dist = self.search(self.lifted(x), max(16, 2 * COPIES))
-        ids, dist = ids[:, :COPIES], dist[:, :COPIES]
-        good = (ids >= 0) & (dist <= COPY_RATIO ** 2 * dist[:, :1] + 1e-12)
-        good[:, 0] = True
-        return np.nonzero(good)[0], ids[good]
-
-    def reads(self, q: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(query, list) pairs by the ratio of distances; more until enough rows are read."""
-        ids, dist = self.search(np.hstack([q, np.zeros((len(q), 1))]), self.width)
+        """(row, list) pairs: the nearest list first, then for a row near a border the others there."""
+        rows, lists = [np.zeros(0, int)], [np.zeros(0, int)]
+        for at, d in distances(self.lifted(x), self.centroids):
+            ids = np.argpartition(d, min(COPIES, d.shape[1]) - 1, axis=1)[:, :COPIES]
+            dist = np.take_along_axis(d, ids, 1)
+            order = np.argsort(dist, axis=1, kind="stable")
+            ids, dist = np.take_along_axis(ids, order, 1), np.take_along_axis(dist, order, 1)
+            good = dist <= COPY_RATIO ** 2 * dist[:, :1] + 1e-12
+            good[:, 0] = True
+            rows.append(at + np.nonzero(good)[0])
+            lists.append(ids[good])
+        return np.concatenate(rows), np.concatenate(lists)
+
+    def spreads(self, x: np.ndarray, lists: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Distance and angle of rows to the centroids of their lists, and the rows' lengths."""
+        c = self.centroids[lists, :-1]
+        length, long = np.sqrt((x * x).sum(1)), np.sqrt((c * c).sum(1))
+        cosine = (x * c).sum(1) / np.maximum(length * long, 1e-300)
+        angle = np.where(long > 0, np.arccos(np.clip(cosine, -1, 1)), np.pi)
+        return np.sqrt(((x - c) ** 2).sum(1)), angle, length
+
+    def probe(self, q: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+        """For each query the nearest lists found, as many as hold enough rows."""
+        ids, _ = self.search(np.hstack([q, np.zeros((len(q), 1))]), WIDTH)
         found = np.where(ids >= 0, sizes[np.maximum(ids, 0)], 0)
         before = np.cumsum(found, axis=1) - found
-        good = (ids >= 0) & ((dist <= self.ratio ** 2 * dist[:, :1]) | (before < READ_ROWS))
-        return np.nonzero(good)[0], ids[good]
+        return [i[g] for i, g in zip(ids, (found > 0) & (before < READ_ROWS))]
 
+    def reachable(self, q: np.ndarray, floor: np.ndarray, bounds: Bounds) -> np.ndarray:
+        """Which lists (columns) could hold a row whose product with a query reaches its floor.
 
-def fit(sample: np.ndarray, lists: int, longest: float, n: int, seed: int = 5) -> Index:
-    """Balanced centroids of a sample: crowded lists cost more, so border rows move on."""
+        A product is at most that with the centroid plus the query's length times the greatest
+        distance, and at most both lengths times the cosine of the least angle.
+        """
+        c = self.centroids[:, :-1]
+        mine, long = np.sqrt((q * q).sum(1))[:, None], np.sqrt((c * c).sum(1))
+        product = q @ c.T
+        ball = product + mine * bounds.distance
+        cosine = product / np.maximum(mine * long, 1e-300)
+        angle = np.where(long > 0, np.arccos(np.clip(cosine, -1, 1)), 0) - bounds.angle - ANGLE_SLACK
+        cone = np.maximum(np.cos(np.clip(angle, 0, np.pi)), 0) * mine * bounds.length
+        most = np.minimum(ball, cone) + SLACK * mine * np.maximum(bounds.length, long)
+        return (most >= floor[:, None]) & bounds.used
+
+
+@dataclass
+class Bounds:
+    """For each list the greatest distance and angle to its centroid and the greatest length.
+
+    Only of the rows whose nearest list it is; ``used`` tells whether there are any.
+    """
+
+    distance: np.ndarray
+    angle: np.ndarray
+    length: np.ndarray
+    used: np.ndarray
+
+
+def distances(x: np.ndarray, c: np.ndarray):
+    """Squared distances to all centroids, for some rows at a time, with the first one's number."""
+    square = (c * c).sum(1)
+    for at in range(0, len(x), BLOCK_ROWS):
+        part = x[at:at + BLOCK_ROWS]
+        yield at, np.maximum((part * part).sum(1)[:, None] + square - 2 * part @ c.T, 0)
+
+
+def fit(sample: np.ndarray, lists: int, longest: float, seed: int = 5) -> Index:
+    """Balanced centroids of a sample, ``lists`` at most: crowded ones cost more, so border rows move on."""
     x = Index(longest=longest).lifted(sample)
     rng = np.random.default_rng(seed)
-    c = x[rng.choice(len(x), lists, replace=False)].copy()
+    kinds = np.unique(x, axis=0)  # copies make no lists of their own
+    lists = min(lists, len(kinds))
+    c = kinds[rng.choice(len(kinds), lists, replace=False)]
     price, wished = np.zeros(lists), len(x) / lists
     for _ in range(ROUNDS):
-        d = (x * x).sum(1)[:, None] + (c * c).sum(1) - 2 * x @ c.T
-        own = (d + price).argmin(1)
+        own, least = np.zeros(len(x), int), np.zeros(len(x))
+        for at, d in distances(x, c):
+            some = (d + price).argmin(1)
+            own[at:at + len(d)], least[at:at + len(d)] = some, d[np.arange(len(d)), some]
         count = np.bincount(own, minlength=lists)
-        scale = float(d[np.arange(len(x)), own].mean())
+        scale = float(least.mean())
         price += PRICE * scale * (np.minimum(count / wished, 4) - 1) / 2
         total = np.zeros_like(c)
         np.add.at(total, own, x)
         c = np.where(count[:, None] > 0, total / np.maximum(count, 1)[:, None],
-                     x[rng.choice(len(x), lists)])
+                     kinds[rng.choice(len(kinds), lists)])
     gaps = (c * c).sum(1)[:, None] + (c * c).sum(1) - 2 * c @ c.T
     np.fill_diagonal(gaps, np.inf)
     near = np.argsort(gaps, axis=1)[:, :min(DEGREE, lists - 1)]
     ring = np.roll(np.arange(lists), 1)[:, None]  # keeps the graph in one piece
     ring = np.where((near == ring).any(1, keepdims=True), np.arange(lists)[:, None], ring)
     graph = np.hstack([near, ring]) if lists > 1 else np.zeros((1, 1), int)
-    entries = rng.choice(lists, min(lists, max(8, int(lists ** 0.5))), replace=False)
-    index = Index(c, graph, entries, longest)
-    index.ratio, index.width = calibrated(index, sample, n)
-    return index
-
-
-def calibrated(index: Index, sample: np.ndarray, n: int) -> tuple[float, int]:
-    """The ratio within which sampled queries meet ``TARGET`` of their true neighbours.
-
-    ``NEAREST`` neighbours among ``n`` rows lie about as far as the same share of the sample.
-    Also the lists within that ratio, for the width of the search.
-    """
-    queries = sample[:CALIBRATION]
-    score = queries @ sample.T
-    score[np.arange(len(queries)), np.arange(len(queries))] = -np.inf
-    k = min(len(sample) - 1, max(1, -(-NEAREST * len(sample) // n)))
-    if k < 1:
-        return 1.0, len(index.centroids)
-    true = np.argsort(-score, axis=1)[:, :k]
-    lifted, c = np.hstack([queries, np.zeros((len(queries), 1))]), index.centroids
-    d = np.sqrt(np.maximum((lifted ** 2).sum(1)[:, None] + (c * c).sum(1) - 2 * lifted @ c.T, 0))
-    ratio = d / np.maximum(d.min(1, keepdims=True), 1e-12)
-    homes = np.full((len(sample), COPIES), -1)
-    rows, lists = index.homes(sample)
-    nth = np.arange(len(rows)) - np.searchsorted(rows, rows)
-    homes[rows, nth] = lists
-    at = homes[true]
-    needed = np.where(at >= 0, ratio[np.arange(len(queries))[:, None, None], at], np.inf).min(2)
-    least = float(np.quantile(needed, TARGET))
-    return least, int(min(len(c), 16 + 1.25 * (ratio <= least).sum(1).max()))
+    entries = rng.choice(lists, min(lists, max(512, lists // 4)), replace=False)
+    return Index(c, graph, entries, longest)
 
 
 def grouped(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -193,12 +224,22 @@ def _matrix(column) -> np.ndarray:
     return np.array(column.to_list(), dtype=np.float64)
 
 
+def few_copies(ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows with equal vectors the ``k + 1`` smallest ids: no query can have more of them."""
+    _, kind = np.unique(np.ascontiguousarray(x).view(f"V{x.itemsize * x.shape[1]}").ravel(),
+                        return_inverse=True)
+    rows = pd.DataFrame({"kind": kind, "id": ids}).sort_values("id").drop_duplicates()
+    rows = rows[rows.groupby("kind").cumcount() <= k]
+    return rows["id"].to_numpy(), x[rows.index.to_numpy()]
+
+
 def nearest(vectors: DataFrame, every: int = 20, k: int = NEAREST) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` rows of largest inner product found.
+    """``query_id, rank, vec_id, score``: the ``k`` rows of largest inner product.
 
     Queries are the rows whose ``vec_id`` is divisible by ``every``; a row is no neighbour of
-    its own id. Scores are sums of double products in one order, so equal vectors tie exactly,
-    and ties go to the smaller id. No usable rows give none; other columns are left out.
+    its own id, and rows that share an id count once, with the best score. Scores are sums of
+    double products in one order, so equal vectors tie exactly, and ties go to the smaller id.
+    No usable rows give none; other columns are left out.
     """
     spark = vectors.sparkSession
     rows, longest, n = usable(vectors)
@@ -207,82 +248,133 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = NEAREST) -> DataFrame:
         return spark.createDataFrame([], schema)
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()
     lists = max(1, min(MAX_LISTS, n // LIST_ROWS, len(sample) // 4))
-    index = spark.sparkContext.broadcast(fit(_matrix(sample["embedding"]), lists, longest, n))
+    index = spark.sparkContext.broadcast(fit(_matrix(sample["embedding"]), lists, longest))
+    lists = len(index.value.centroids)
     kind = rows.schema["embedding"].dataType.simpleString()
 
     def deal(batches):
         for batch in batches:
             if len(batch):
-                at, home = index.value.homes(_matrix(batch["embedding"]))
-                yield batch.iloc[at].assign(list=home)
-
-    posted = staged(rows.mapInPandas(deal, f"vec_id long, embedding {kind}, list int"), "lists")
-    count = {r["list"]: r["n"] for r in posted.groupBy("list").agg(F.count("*").alias("n")).collect()}
-    sizes = np.array([count.get(i, 0) for i in range(lists)])
+                x = _matrix(batch["embedding"])
+                at, home = index.value.homes(x)
+                distance, angle, length = index.value.spreads(x[at], home)
+                yield batch.iloc[at].assign(list=home, home=np.diff(at, prepend=-1) > 0,
+                                            distance=distance, angle=angle, length=length)
+
+    measures = [F.max(F.when(F.col("home"), F.col(c))).alias(c)
+                for c in ("distance", "angle", "length")]
+    posted = staged(rows.mapInPandas(
+        deal, f"vec_id long, embedding {kind}, list int, home boolean, distance double, "
+              "angle double, length double"), "lists")
+    told = posted.groupBy("list").agg(F.count("*").alias("n"), *measures).toPandas().set_index(
+        "list").reindex(range(lists))
+    sizes = told["n"].fillna(0).to_numpy(int)
     first, blocks = grouped(sizes)
-
-    def ask(batches):
-        for batch in batches:
-            if not len(batch):
-                continue
-            at, found = index.value.reads(_matrix(batch["embedding"]), sizes)
-            wide = np.repeat(np.arange(len(at)), blocks[found])
-            nth = np.arange(len(wide)) - np.searchsorted(wide, wide)
-            pairs = pd.DataFrame({"at": at[wide], "group": first[found][wide] + nth,
-                                  "lists": found[wide]})
-            told = pairs.groupby(["at", "group"])["lists"].agg(list).reset_index()
-            yield pd.DataFrame({
-                "query_id": batch["vec_id"].to_numpy()[told["at"]],
-                "embedding": batch["embedding"].to_numpy()[told["at"]],
-                "group": told["group"], "lists": told["lists"]})
-
-    asked = staged(rows.where(F.col("vec_id") % every == 0).mapInPandas(
-        ask, f"query_id long, embedding {kind}, group int, lists array<int>"), "asked")
-    most = asked.groupBy("group").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    turns = most // GROUP_QUERIES + 1
+    far, wide_, long = (told[c].fillna(-1.0).to_numpy() for c in ("distance", "angle", "length"))
+    bounds = Bounds(far, wide_, long, far >= 0)
     places = spark.createDataFrame(
         [(i, int(a), int(b)) for i, (a, b) in enumerate(zip(first, blocks))],
         "list int, _first int, _blocks int")
-    left = posted.join(F.broadcast(places), "list").select(
-        "vec_id", "embedding", "list",
-        (F.col("_first") + F.pmod(F.xxhash64("vec_id"), "_blocks")).cast("int").alias("group"),
-        F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("turn"))
-    right = asked.withColumn("turn", F.pmod(F.xxhash64("query_id"), F.lit(turns)).cast("int"))
+
+    def probe(batches):
+        for batch in batches:
+            if len(batch):
+                found = index.value.probe(_matrix(batch["embedding"]), sizes)
+                yield pd.DataFrame({"query_id": batch["vec_id"], "embedding": batch["embedding"],
+                                    "lists": found})
+
+    def more(batches):
+        for batch in batches:
+            for at in range(0, len(batch), BLOCK_ROWS):
+                part = batch.iloc[at:at + BLOCK_ROWS]
+                open_ = index.value.reachable(_matrix(part["embedding"]),
+                                              part["floor"].to_numpy(float), bounds)
+                read = part["lists"].str.len().to_numpy()
+                open_[np.repeat(np.arange(len(part)), read), np.concatenate(part["lists"].tolist())] = False
+                yield part.assign(lists=[np.nonzero(o)[0] for o in open_])
+
+    def ask(batches):
+        """A query's lists by the group they are in."""
+        for batch in batches:
+            for start in range(0, len(batch), BLOCK_ROWS):
+                part = batch.iloc[start:start + BLOCK_ROWS]
+                at = np.repeat(np.arange(len(part)), part["lists"].str.len().to_numpy())
+                if not len(at):
+                    continue
+                found = np.concatenate(part["lists"].tolist()).astype(int)
+                wide = np.repeat(np.arange(len(at)), blocks[found])
+                nth = np.arange(len(wide)) - np.searchsorted(wide, wide)
+                pairs = pd.DataFrame({"at": at[wide], "group": first[found][wide] + nth,
+                                      "lists": found[wide]})
+                said = pairs.groupby(["at", "group"])["lists"].agg(list).reset_index()
+                whose = part.iloc[said["at"]]
+                yield pd.DataFrame({
+                    "query_id": whose["query_id"].to_numpy(),
+                    "embedding": whose["embedding"].to_numpy(), "floor": whose["floor"].to_numpy(),
+                    "group": said["group"], "lists": said["lists"]})
 
     def score(rows_, queries):
         """The best of one group of lists for the queries that read any of them."""
         out = [pd.DataFrame({"q": [], "vec_id": [], "score": []})]
         q = _matrix(queries["embedding"]) if len(queries) else None
-        names = queries["query_id"].to_numpy()
+        names, floor = queries["query_id"].to_numpy(), queries["floor"].to_numpy(float)
         reads = queries["lists"].explode() if len(queries) else pd.Series(dtype=int)
         readers = {k: v.to_numpy() for k, v in
                    pd.Series(np.arange(len(queries)).repeat(queries["lists"].str.len())
                              if len(queries) else []).groupby(reads.to_numpy())}
         for name, part in rows_.groupby("list"):
-            ids, x = part["vec_id"].to_numpy(), _matrix(part["embedding"])
             mine = readers.get(name, np.zeros(0, int))
-            for at in range(0, len(mine), 64):
-                some = mine[at:at + 64]
+            if not len(mine):
+                continue
+            ids, x = few_copies(part["vec_id"].to_numpy(), _matrix(part["embedding"]), k)
+            best = k if len(np.unique(ids)) == len(ids) else len(ids)
+            kth, top = max(0, len(ids) - best), np.sqrt((x * x).sum(1).max())
+            step = max(16, BLOCK_SCORES // len(ids))
+            for at in range(0, len(mine), step):
+                some = mine[at:at + step]
                 s = q[some] @ x.T
                 s[names[some][:, None] == ids] = -np.inf
-                least = np.partition(s, max(0, len(ids) - k), axis=1)[:, max(0, len(ids) - k)]
+                least = np.maximum(np.partition(s, kth, axis=1)[:, kth], floor[some])
                 # the product's rounding may differ from that of the exact sum
-                near = (s >= least[:, None] - 1e-9 * max(1.0, longest)) & (s > -np.inf)
-                i, j = np.nonzero(near)
+                slack = SLACK * top * np.sqrt((q[some] ** 2).sum(1))
+                i, j = np.nonzero((s >= (least - slack)[:, None]) & (s > -np.inf))
                 out.append(pd.DataFrame({"q": some[i], "vec_id": ids[j],
                                          "score": (x[j] * q[some[i]]).sum(1)}))
-        found = pd.concat(out).drop_duplicates(["q", "vec_id"]).sort_values(
-            ["q", "score", "vec_id"], ascending=[True, False, True])
+        found = pd.concat(out).sort_values(
+            ["q", "score", "vec_id"], ascending=[True, False, True]).drop_duplicates(["q", "vec_id"])
         top = found[found.groupby("q").cumcount() < k]
         return pd.DataFrame({"query_id": names[top["q"].to_numpy(int)], "vec_id": top["vec_id"],
                              "score": top["score"]})
 
-    keys = ["group", "turn"]
-    scored = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        score, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    rank = F.row_number().over(order)
-    some = scored.withColumn("rank", rank).where(F.col("rank") <= k * COPIES).drop("rank")
-    once = some.dropDuplicates(["query_id", "vec_id"])
-    return once.withColumn("rank", rank).where(F.col("rank") <= k).select(
+    def scored(posted: DataFrame, queries: DataFrame, name: str) -> DataFrame:
+        asked = staged(queries.mapInPandas(
+            ask, f"query_id long, embedding {kind}, floor double, group int, lists array<int>"), name)
+        most = asked.groupBy("group").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+        turns = most // GROUP_QUERIES + 1
+        left = posted.join(F.broadcast(places), "list").select(
+            "vec_id", "embedding", "list",
+            (F.col("_first") + F.pmod(F.xxhash64("vec_id"), "_blocks")).cast("int").alias("group"),
+            F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("turn"))
+        right = asked.withColumn("turn", F.pmod(F.xxhash64("query_id"), F.lit(turns)).cast("int"))
+        keys = ["group", "turn"]
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
+            score, "query_id long, vec_id long, score double")
+
+    def ranked(found: DataFrame) -> DataFrame:
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        once = found.repartition("query_id").groupBy("query_id", "vec_id").agg(
+            F.max("score").alias("score"))
+        return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    probed = staged(rows.where(F.col("vec_id") % every == 0).mapInPandas(
+        probe, f"query_id long, embedding {kind}, lists array<int>"), "probed")
+    none = F.lit(float("-inf"))
+    near = staged(ranked(scored(posted, probed.withColumn("floor", none), "asked")), "near")
+    floors = near.where(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
+    checked = probed.join(floors, "query_id", "left").withColumn(
+        "floor", F.coalesce("floor", none)).select("query_id", "embedding", "lists", "floor")
+    # every row is at home in one list, so copies need not be read again
+    others = scored(posted.where("home"), checked.mapInPandas(
+        more, f"query_id long, embedding {kind}, lists array<int>, floor double"), "checked")
+    return ranked(near.drop("rank").unionByName(others)).select(
         "query_id", "rank", "vec_id", "score")
